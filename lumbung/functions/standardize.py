@@ -55,8 +55,8 @@ def standardize(
 ) -> Column:
     """Look ``value`` up in a literal dictionary."""
     key = F.lower(F.trim(value.cast("string"))) if normalize else value
-    literals = [F.lit(item) for item in chain.from_iterable(entries.items())]
-    found = F.create_map(*literals)[key]
+    literals = ", ".join(_sql_literal(item) for item in chain.from_iterable(entries.items()))
+    found = F.expr(f"map({literals})")[key]
     return _resolve_miss(found, value, on_miss, default)
 
 
@@ -97,3 +97,10 @@ def _resolve_miss(
     if on_miss == "literal":
         return F.coalesce(found, F.lit(default))
     raise ValueError(f"unknown on_miss policy: {on_miss!r}")
+
+
+def _sql_literal(item: str | int) -> str:
+    if isinstance(item, int):
+        return str(item)
+    escaped = item.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -1,16 +1,17 @@
 """Deduplication with a total order (A1, A3, A4).
 
 A plain ``dropDuplicates`` keeps whichever row comes first.  Here the least row
-by a stated order is kept, so every run gives the same result.  The least row
-is found by ``min`` over a struct: it is combined before the shuffle, so a key
-with very many copies sends one row per task and never fills one task.
+by a stated order is kept, so every run gives the same result.  The filter on
+``row_number`` is applied in every task before the shuffle as well (a group
+limit in the plan), so a key with very many copies sends one row per task and
+never fills one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,10 +26,8 @@ def dedup_by_key(
     if not rest:
         return df.distinct()
     ordered = [*order_by, *(name for name in rest if name not in order_by)]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("__row"))
-    return picked.select(
-        *(F.col(name) if name in keys else F.col(f"__row.{name}") for name in df.columns)
-    )
+    least_first = Window.partitionBy(*keys).orderBy(*ordered)
+    return df.withColumn("__n", F.row_number().over(least_first)).where("__n = 1").drop("__n")
 
 
 def pick_per_entity(

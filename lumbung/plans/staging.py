@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -230,31 +230,38 @@ def rejected_events(
     return reject_report(rows, event_rules(table, options), ["id_platform"])
 
 
-def build_staging(
-    spark: SparkSession,
-    sources: Sources,
-    options: StagingOptions = StagingOptions(),
-    keep: Callable[[str, DataFrame], DataFrame] | None = None,
-) -> dict[str, DataFrame]:
-    """All staging tables, lazily.
-
-    ``keep`` may write a table and give it back as read.  The bridges are used
-    by every event table, so with ``keep`` they are computed once and their
-    file sizes tell the optimizer whether to broadcast them.
-    """
-    keep = keep or (lambda name, df: df)
-    tables = {
+def build_references(spark: SparkSession, sources: Sources) -> dict[str, DataFrame]:
+    """T1-T4, lazily."""
+    return {
         "kamus_platform": platform_dictionary(spark),
         "kamus_mata_pelajaran": subject_dictionary(sources),
         "peta_pengguna_lintas_platform": user_bridge(sources),
         "peta_kelas_lintas_platform": course_bridge(sources),
     }
-    tables = {name: keep(name, df) for name, df in tables.items()}
-    users = tables["peta_pengguna_lintas_platform"]
-    courses = tables["peta_kelas_lintas_platform"]
-    for name in EVENT_TABLES:
-        tables[name] = keep(name, build_events(name, sources, users, courses, options))
-    return tables
+
+
+def build_all_events(
+    sources: Sources,
+    references: Mapping[str, DataFrame],
+    options: StagingOptions = StagingOptions(),
+    names: Iterable[str] = tuple(EVENT_TABLES),
+) -> dict[str, DataFrame]:
+    """T5-T9, lazily.
+
+    ``references`` had better be written and read back: the bridges serve every
+    event table, and their file sizes tell the optimizer whether to broadcast.
+    """
+    users = references["peta_pengguna_lintas_platform"]
+    courses = references["peta_kelas_lintas_platform"]
+    return {name: build_events(name, sources, users, courses, options) for name in names}
+
+
+def build_staging(
+    spark: SparkSession, sources: Sources, options: StagingOptions = StagingOptions()
+) -> dict[str, DataFrame]:
+    """All staging tables, lazily."""
+    references = build_references(spark, sources)
+    return {**references, **build_all_events(sources, references, options)}
 
 
 def _all_courses(sources: Sources) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,10 @@ from lumbung.plans.schemas import DIMENSIONS, FACTS, SOURCES, STAGING
 from lumbung.plans.staging import (
     EVENT_TABLES,
     StagingOptions,
-    build_events,
+    build_all_events,
+    build_references,
     course_bridge,
-    platform_dictionary,
     rejected_events,
-    subject_dictionary,
     user_bridge,
 )
 from lumbung.sources.readers import TableSource
@@ -34,27 +34,26 @@ from workload.star_oracles import AS_OF, statement, whole
 
 STAGING_OPTIONS = StagingOptions(as_of=dt.date.fromisoformat(AS_OF))
 OPTIONS = w.WarehouseOptions()
-BRIDGES = ("peta_pengguna_lintas_platform", "peta_kelas_lintas_platform")
 
 
 def stage(
-    spark: SparkSession,
-    sf_dir: str,
-    events: Iterable[str] = (),
-    keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+    spark: SparkSession, sf_dir: str, events: Iterable[str] = (), store: ParquetStore | None = None
 ) -> dict[str, DataFrame]:
-    """The dictionaries, the bridges and the named event tables."""
+    """The dictionaries, the bridges and the named event tables.
+
+    With a store they are written to it and read back, as the pipeline does.
+    """
     sources = derived_sources(spark, sf_dir)
-    users, courses = keep(BRIDGES[0], user_bridge(sources)), keep(BRIDGES[1], course_bridge(sources))
-    tables = {
-        "kamus_platform": platform_dictionary(spark),
-        "kamus_mata_pelajaran": subject_dictionary(sources),
-        BRIDGES[0]: users,
-        BRIDGES[1]: courses,
-    }
-    for name in events:
-        tables[name] = keep(name, build_events(name, sources, users, courses, STAGING_OPTIONS))
-    return tables
+    references = write_all(store, build_references(spark, sources))
+    staged = build_all_events(sources, references, STAGING_OPTIONS, events)
+    return {**references, **write_all(store, staged)}
+
+
+def write_all(store: ParquetStore | None, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    if store is None:
+        return tables
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return dict(zip(tables, pool.map(lambda name: store.write(name, tables[name]), tables)))
 
 
 # ---- T2-T9.  The platform dictionary is a literal of four rows; it is no query
@@ -126,12 +125,6 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- D1-D9
 
 
-def _dimension(name: str, events: Iterable[str], build: Callable[[dict], DataFrame]) -> None:
-    @query(name, whole(name))
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(stage(spark, sf_dir, events))
-
-
 def _platforms(staging: dict) -> DataFrame:
     return w.dim_platform(staging, OPTIONS)
 
@@ -146,16 +139,35 @@ def _courses(staging: dict) -> DataFrame:
     )
 
 
-_dimension("dim_waktu", w.EVENT_DATES, lambda s: w.dim_waktu(s, OPTIONS))
-_dimension("dim_pengguna", [], lambda s: w.dim_pengguna(s, _platforms(s), OPTIONS))
-_dimension("dim_kelas", [], _courses)
-_dimension("dim_mata_pelajaran", [], lambda s: w.dim_mata_pelajaran(s, OPTIONS))
-_dimension("dim_jenjang", [], lambda s: w.dim_jenjang(s, OPTIONS))
-_dimension(
-    "dim_perangkat", ["olah_aktivitas_belajar", "olah_ulasan"], lambda s: w.dim_perangkat(s, OPTIONS)
-)
-_dimension("dim_paket", ["olah_transaksi"], lambda s: w.dim_paket(s, OPTIONS))
-_dimension("dim_metode_bayar", ["olah_transaksi"], lambda s: w.dim_metode_bayar(s, OPTIONS))
+DIMENSION_BUILDERS: dict[str, Callable[[dict], DataFrame]] = {
+    "dim_waktu": lambda s: w.dim_waktu(s, OPTIONS),
+    "dim_platform": _platforms,
+    "dim_pengguna": lambda s: w.dim_pengguna(s, _platforms(s), OPTIONS),
+    "dim_kelas": _courses,
+    "dim_mata_pelajaran": lambda s: w.dim_mata_pelajaran(s, OPTIONS),
+    "dim_jenjang": lambda s: w.dim_jenjang(s, OPTIONS),
+    "dim_perangkat": lambda s: w.dim_perangkat(s, OPTIONS),
+    "dim_paket": lambda s: w.dim_paket(s, OPTIONS),
+    "dim_metode_bayar": lambda s: w.dim_metode_bayar(s, OPTIONS),
+}
+# the event tables each dimension is made of
+DIMENSION_EVENTS = {
+    "dim_waktu": tuple(w.EVENT_DATES),
+    "dim_perangkat": ("olah_aktivitas_belajar", "olah_ulasan"),
+    "dim_paket": ("olah_transaksi",),
+    "dim_metode_bayar": ("olah_transaksi",),
+}
+
+
+def _register_dimension(name: str) -> None:
+    @query(name, whole(name))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return DIMENSION_BUILDERS[name](stage(spark, sf_dir, DIMENSION_EVENTS.get(name, ())))
+
+
+for _name in DIMENSIONS:
+    if _name != "dim_platform":
+        _register_dimension(_name)
 
 
 @query(
@@ -169,7 +181,7 @@ _dimension("dim_metode_bayar", ["olah_transaksi"], lambda s: w.dim_metode_bayar(
 def platform_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1/D2 beside the number of accounts on each platform."""
     staging = stage(spark, sf_dir)
-    accounts = staging[BRIDGES[0]].groupBy("nama_platform").agg(F.count(F.lit(1)).alias("n_accounts"))
+    accounts = staging["peta_pengguna_lintas_platform"].groupBy("nama_platform").agg(F.count(F.lit(1)).alias("n_accounts"))
     return (
         _platforms(staging)
         .join(accounts, "nama_platform", "left")
@@ -193,19 +205,9 @@ def _register_fact(name: str) -> None:
         fact = w.fact_tables()[name]
         store = ParquetStore(spark, shared_folder(spark, name))
         events = list(dict.fromkeys([*w.EVENT_DATES, fact.events]))
-        staging = stage(spark, sf_dir, events, store.write)
+        staging = stage(spark, sf_dir, events, store)
         wanted = {item.dimension for item in fact.lookups}
-        dimensions = {"dim_platform": _platforms(staging), "dim_waktu": w.dim_waktu(staging, OPTIONS)}
-        builders = {
-            "dim_pengguna": lambda: w.dim_pengguna(staging, dimensions["dim_platform"], OPTIONS),
-            "dim_kelas": lambda: _courses(staging),
-            "dim_perangkat": lambda: w.dim_perangkat(staging, OPTIONS),
-            "dim_paket": lambda: w.dim_paket(staging, OPTIONS),
-            "dim_metode_bayar": lambda: w.dim_metode_bayar(staging, OPTIONS),
-        }
-        for dimension, build in builders.items():
-            if dimension in wanted:
-                dimensions[dimension] = store.write(dimension, build())
+        dimensions = write_all(store, {name: DIMENSION_BUILDERS[name](staging) for name in wanted})
         return build_fact(staging[fact.events], dimensions, fact.lookups, fact.columns)
 
 
@@ -224,14 +226,14 @@ _LOADED = " UNION ALL ".join(
 
 
 def _parquet_sources(spark: SparkSession, sf_dir: str, folder: str) -> dict:
-    store = ParquetStore(spark, folder)
+    store, derived = ParquetStore(spark, folder), derived_sources(spark, sf_dir)
     sources: dict[str, dict[str, TableSource]] = {}
-    for code, tables in derived_sources(spark, sf_dir).items():
-        sources[code] = {}
-        for name in SOURCES[code]:
-            store.write(f"{code}/{name}", tables[name])
-            path = store.path(f"{code}/{name}")
-            sources[code][name] = TableSource(name, SOURCES[code][name], "parquet", path)
+    for code, tables in SOURCES.items():
+        write_all(store, {f"{code}/{name}": derived[code][name] for name in tables})
+        sources[code] = {
+            name: TableSource(name, schema, "parquet", store.path(f"{code}/{name}"))
+            for name, schema in tables.items()
+        }
     return sources
 
 
