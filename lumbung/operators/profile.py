@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from lumbung.operators.conform import union_all
 from lumbung.operators.lookup import bounded
@@ -69,12 +70,16 @@ def month_profile(
 
 
 def score_stats(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
-    """Q5: mean and exact median.
+    """Q5: mean and exact median of a score.
 
-    The rows are counted per value first.  The median buffer of a group then
-    holds one entry per different value; a gated score of type decimal(5,2)
-    between 0 and 100 has 10,001 at most, however many rows there are.
+    The rows are counted per value first, so the median buffer of a group holds
+    one entry per different value and not per row.  The score has to be a
+    decimal of six digits at most: that bounds the buffer by its type (a
+    decimal(5,2) between 0 and 100 has 10,001 values), however many rows there are.
     """
+    kind = df.schema[column].dataType
+    if not isinstance(kind, DecimalType) or kind.precision > 6:
+        raise TypeError(f"{column} has to be a decimal of six digits at most, not {kind}")
     counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(
         F.count(F.lit(1)).alias("__n")
     )

@@ -31,15 +31,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What one load did to one table."""
+    """What one load did to one table.  ``n_in`` is None where it was not counted."""
 
     table: str
-    n_in: int
+    n_in: int | None
     n_new: int
 
     @property
-    def n_skipped(self) -> int:
-        return self.n_in - self.n_new
+    def n_skipped(self) -> int | None:
+        return None if self.n_in is None else self.n_in - self.n_new
 
 
 @dataclass(frozen=True)
@@ -99,8 +99,14 @@ class ParquetStore:
         schema: str,
         *,
         null_safe: bool = False,
+        count_input: bool = True,
     ) -> LoadResult:
-        """Append the rows whose key no earlier batch has loaded."""
+        """Append the rows whose key no earlier batch has loaded.
+
+        ``df`` should be a written table, as in the pipeline: counting it for the
+        metrics then reads file footers only.  ``count_input=False`` leaves the
+        count out for a frame that would have to be computed again.
+        """
         incoming = conform_schema(df, schema)
         existing = self.read_existing(table, schema)
         if existing is not None:
@@ -114,7 +120,7 @@ class ParquetStore:
             .parquet(self.path(table))
         )
         n_new = self._batch_rows(table, batch_id)
-        return LoadResult(table, df.count(), n_new)
+        return LoadResult(table, df.count() if count_input else None, n_new)
 
     def _batch_rows(self, table: str, batch_id: str) -> int:
         # a count over one partition is answered by the file footers

@@ -30,7 +30,9 @@ def append_file_drops(
 
     def load(batch: DataFrame, number: int) -> None:
         rows = dedup_by_key(batch, keys)
-        store.append_new(table, rows, keys, f"STREAM-{number:012d}", schema)
+        store.append_new(
+            table, rows, keys, f"STREAM-{number:012d}", schema, count_input=False
+        )
 
     query = (
         spark.readStream.format(format)

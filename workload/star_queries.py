@@ -261,18 +261,17 @@ def pipeline_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def monthly_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = "olah_aktivitas_belajar"
-    staging = stage(spark, sf_dir, [events])
-    days = date_dimension([(staging[events], "tanggal_aktivitas")], MONTH_NAMES)
+    """The activities are staged once; dimensions and facts are built from them."""
+    store = ParquetStore(spark, shared_folder(spark, "activity"))
+    staging = stage(spark, sf_dir, ["olah_aktivitas_belajar"], store)
+    events = staging["olah_aktivitas_belajar"]
+    days = date_dimension([(events, "tanggal_aktivitas")], MONTH_NAMES)
+    devices = w.dim_perangkat({**staging, "olah_ulasan": events.limit(0)}, OPTIONS)
     platforms = _platforms(staging)
     fact = w.fact_tables()["fakta_aktivitas_belajar"]
     facts = build_fact(
-        staging[events],
-        {
-            "dim_waktu": days,
-            "dim_platform": platforms,
-            "dim_perangkat": w.dim_perangkat({events: staging[events], "olah_ulasan": staging[events]}, OPTIONS),
-        },
+        events,
+        {"dim_waktu": days, "dim_platform": platforms, "dim_perangkat": devices},
         [item for item in fact.lookups if item.size_bounded],
         fact.columns,
     )
