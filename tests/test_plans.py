@@ -1,0 +1,265 @@
+"""The configured integration on a few hand-made rows."""
+
+import datetime as dt
+from dataclasses import replace
+from decimal import Decimal
+
+import pytest
+from helpers import frame, rows_of
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from lumbung.operators.checks import duplicate_keys, orphan_keys
+from lumbung.plans import fixed_values as v
+from lumbung.plans.pipeline import PipelineConfig, file_sources, run_pipeline
+from lumbung.plans.schemas import DIMENSIONS, FACTS, SOURCES, STAGING
+from lumbung.plans.staging import (
+    EVENT_TABLES,
+    StagingOptions,
+    build_events,
+    build_staging,
+    course_bridge,
+    raw_events,
+    rejected_events,
+    user_bridge,
+)
+from lumbung.plans.warehouse import WarehouseOptions, build_dimensions, build_facts
+from lumbung.sources.readers import empty_table
+
+DAY = dt.date(2024, 1, 10)
+AS_OF = StagingOptions(as_of=dt.date(2024, 6, 30))
+
+
+def sources(spark, **given):
+    """All 28 tables: the given rows, by ``<source>_<table>``, and none elsewhere."""
+    return {
+        code: {
+            name: frame(spark, schema, *given[f"{code}_{name}"])
+            if f"{code}_{name}" in given
+            else empty_table(spark, schema)
+            for name, schema in tables.items()
+        }
+        for code, tables in SOURCES.items()
+    }
+
+
+GIVEN = {
+    "zb_member": [
+        ("M1", "Ana", "ana@Mail.id", "SMA", 10, " Jawa Barat ", DAY),
+        ("M2", "Budi", None, "SMP", 7, "Bali", DAY),
+    ],
+    "rc_siswa": [("S1", "Ana B", "ANA@mail.id", "SMA", 11, "nan", DAY)],
+    "pn_siswa_pintarnusa": [("P1", "Citra", "c@mail.id", None, 9, None, DAY)],
+    "zb_program_belajar": [
+        ("PRG1", "t", "Mathematics", "SMA", "advanced", "m"),
+        ("PRG2", "t", "Matematika", "SMA", "advanced", "n"),
+        ("PRG3", "t", "Tari", "SMA", "ADVANCED", "n"),
+    ],
+    "rc_kelas": [("K1", "n", "Matematika", "SMA", " Hard ", "g")],
+    "pn_katalog_program": [("Q1", "n", "Sejarah", "SMP", "pemula", "g")],
+    "zb_riwayat_belajar": [
+        ("R1", "M1", "PRG1", dt.datetime(2024, 1, 10, 9), None, 90, " Web "),
+        ("R1", "M1", "PRG2", dt.datetime(2024, 1, 11, 9), None, 90, "web"),
+        ("R2", "M2", "PRG1", dt.datetime(2024, 1, 10, 9), None, 90, "web"),
+        ("R3", "M1", "PRG9", dt.datetime(2024, 1, 10, 9), None, 90, "web"),
+        ("R4", "M1", "PRG1", dt.datetime(2025, 1, 10, 9), None, 90, "web"),
+        ("R5", "M1", "PRG1", dt.datetime(2024, 1, 10, 9), None, -1, "web"),
+        (None, "M1", "PRG1", dt.datetime(2024, 1, 10, 9), None, 90, "web"),
+    ],
+    "pn_sesi_belajar": [("T1", "P1", "Q1", DAY, 7, "tv")],
+    "zb_order_langganan": [
+        ("O1", "M1", "Reguler", DAY, "QRIS", 100, "paid"),
+        ("O2", "M1", "Promo", DAY, "cash", 0, "lost"),
+    ],
+    "zb_feedback_program": [
+        ("F1", "M1", "PRG1", DAY, 1, "web", "low"),
+        ("F2", "M1", "PRG1", DAY, 10, "ios", None),
+    ],
+    "pn_ulasan_program": [("U1", "P1", "Q1", DAY, 4, "ios", "")],
+    "zb_peserta_program": [
+        ("E1", "M1", "PRG1", dt.date(2030, 1, 1), " Dropout "),
+        ("E2", "M1", "PRG1", None, "whatever"),
+    ],
+    "rc_hasil_kuis": [("Q1", "S1", "K1", DAY, Decimal(70), 10), ("Q2", "S1", "K1", DAY, Decimal(69), 10)],
+    "pn_hasil_assessment": [("A1", "P1", "Q1", DAY, 74.9, 10, 7), ("A2", "P1", "Q1", DAY, 75.0, 10, 8)],
+}
+
+
+@pytest.fixture(scope="module")
+def staging(spark):
+    tables = build_staging(spark, sources(spark, **GIVEN), AS_OF)
+    return {name: df.persist() for name, df in tables.items()}
+
+
+def test_staging_has_the_declared_columns(spark, staging):
+    for name, ddl in STAGING.items():
+        declared = [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl)]
+        assert staging[name].dtypes == declared, name
+
+
+def test_platforms_are_the_configured_ones(staging):
+    rows = {tuple(r) for r in staging["kamus_platform"].collect()}
+    assert rows == {(i, n, k, f"Platform {n}") for i, n, k in v.PLATFORMS.values()}
+
+
+def test_people_are_matched_across_platforms(staging):
+    users = staging["peta_pengguna_lintas_platform"]
+    ids = {r.id_pengguna_platform: r.id_pengguna_global for r in users.collect()}
+    assert set(ids) == {"M1", "S1", "P1"}  # M2 has no address
+    assert ids["M1"] == ids["S1"] != ids["P1"]
+    places = {r.id_pengguna_platform: r.provinsi_standar for r in users.collect()}
+    assert places == {"M1": " Jawa Barat ", "S1": "Tidak Diketahui", "P1": "Tidak Diketahui"}
+
+
+def test_courses_are_matched_by_subject_level_and_difficulty(staging):
+    rows = {r.id_kelas_platform: r for r in staging["peta_kelas_lintas_platform"].collect()}
+    assert rows["PRG1"].nama_kelas_standar == "Matematika - SMA lanjut"
+    assert rows["PRG1"].id_kelas_global == rows["PRG2"].id_kelas_global == rows["K1"].id_kelas_global
+    # an unknown difficulty is no part of the name
+    assert rows["PRG3"].nama_kelas_standar == "Tari - SMA"
+
+
+def test_activities(staging):
+    rows = {r.id_aktivitas: r for r in staging["olah_aktivitas_belajar"].collect()}
+    assert set(rows) == {"ZB-AK-R1", "PN-AK-T1"}
+    first = rows["ZB-AK-R1"]
+    assert first.tanggal_aktivitas == DAY and str(first.durasi_belajar_menit) == "1.50"
+    assert first.perangkat_standar == "desktop"
+    assert rows["PN-AK-T1"].perangkat_standar == "tidak diketahui"
+
+
+def test_payments_results_reviews_enrolments(staging):
+    paid = {r.id_transaksi: r for r in staging["olah_transaksi"].collect()}
+    assert paid["ZB-TR-O1"][4:6] == ("reguler", "e-wallet")
+    assert paid["ZB-TR-O1"].status_bayar_standar == "berhasil"
+    assert paid["ZB-TR-O2"][4:6] == ("Promo", None)
+    assert paid["ZB-TR-O2"].status_bayar_standar == "Unknown"
+    results = {r.id_hasil: r.status_lulus for r in staging["olah_hasil_latihan"].collect()}
+    assert results == {
+        "RC-HL-Q1": "lulus", "RC-HL-Q2": "tidak_lulus", "PN-HL-A1": "tidak_lulus", "PN-HL-A2": "lulus",
+    }
+    reviews = {r.id_ulasan: r for r in staging["olah_ulasan"].collect()}
+    assert set(reviews) == {"ZB-UL-F2", "PN-UL-U1"}
+    assert reviews["PN-UL-U1"].perangkat_standar == "tidak diketahui"
+    enrolled = {r.id_pendaftaran: r for r in staging["olah_pendaftaran_program"].collect()}
+    assert enrolled["ZB-PD-E1"].status_pendaftaran_standar == "tidak_aktif"
+    assert enrolled["ZB-PD-E2"].status_pendaftaran_standar == "aktif"  # and no date: not gated
+
+
+def test_more_device_columns_can_be_read(spark):
+    given = sources(spark, **GIVEN)
+    options = replace(AS_OF, review_device_columns=("device",))
+    reviews = build_events("olah_ulasan", given, user_bridge(given), course_bridge(given), options)
+    assert reviews.where("id_ulasan = 'PN-UL-U1'").first().perangkat_standar == "mobile"
+
+
+def test_every_raw_event_is_staged_rejected_or_a_copy(spark):
+    given = sources(spark, **GIVEN)
+    users, courses = user_bridge(given), course_bridge(given)
+    name = "olah_aktivitas_belajar"
+    report = rejected_events(name, given, users, courses, AS_OF)
+    reasons = {(r.id_platform, r.reject_reason): r.n_rows for r in report.collect()}
+    assert reasons == {
+        ("PLT-ZB", "tanggal_aktivitas is missing or in the future"): 1,
+        ("PLT-ZB", "durasi_belajar_menit is out of range"): 1,
+        ("PLT-ZB", "id_aktivitas is missing"): 1,
+        ("PLT-ZB", "id_pengguna_global is missing"): 1,
+        ("PLT-ZB", "id_kelas_global is missing"): 1,
+    }
+    n_raw = raw_events(EVENT_TABLES[name], given, AS_OF).count()
+    assert n_raw == sum(reasons.values()) + 2 + 1  # two staged, one copy
+
+
+def test_salted_staging_equals_plain_staging(spark, staging):
+    given = sources(spark, **GIVEN)
+    salted = build_staging(spark, given, replace(AS_OF, hot_keys=2))
+    for name in EVENT_TABLES:
+        assert rows_of(salted[name]) == rows_of(staging[name]), name
+
+
+def test_renamed_source_columns_are_found(spark):
+    given = sources(spark, **GIVEN)
+    rc = given["rc"]
+    rc["siswa"] = rc["siswa"].withColumnsRenamed(
+        {"kelas": "kelas_sekolah", "domisili_provinsi": "kota", "tanggal_registrasi": "tanggal_daftar"}
+    )
+    rc["kelas"] = rc["kelas"].withColumnRenamed("pengajar", "guru").drop("tingkat_kesulitan")
+    rc["log_video"] = frame(
+        spark,
+        "id_log string, id_siswa int, id_kelas int, tanggal_akses string,"
+        " durasi_tonton_menit double, perangkat string",
+        ("L1", 1, 5, "2024-01-10", 12.345, "ipad"),
+        ("L2", 1, 5, "no date", 1.0, "ipad"),
+    )
+    rc["siswa"] = rc["siswa"].withColumn("id_siswa", F.lit(1))
+    rc["kelas"] = rc["kelas"].withColumn("id_kelas", F.lit(5))
+    users, courses = user_bridge(given), course_bridge(given)
+    course = courses.where("id_kelas_platform = '5'").first()
+    assert (course.tingkat_kesulitan_standar, course.pengajar) == ("menengah", "g")
+    got = build_events("olah_aktivitas_belajar", given, users, courses, AS_OF)
+    row = got.where("id_platform = 'PLT-RC'").first()
+    assert (row.id_aktivitas, str(row.durasi_belajar_menit), row.perangkat_standar) == (
+        "RC-AK-L1", "12.35", "tablet",
+    )
+
+
+@pytest.mark.parametrize("options", [WarehouseOptions(), WarehouseOptions("md5_60", True, 4)])
+def test_warehouse(spark, staging, options):
+    dimensions = {n: df.persist() for n, df in build_dimensions(staging, options).items()}
+    facts = {n: df.persist() for n, df in build_facts(staging, dimensions, options).items()}
+    for name, ddl in {**DIMENSIONS, **FACTS}.items():
+        declared = [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl)]
+        assert ({**dimensions, **facts})[name].dtypes == declared, name
+    for name, fact in facts.items():
+        for dimension in dimensions.values():
+            key = dimension.columns[0]
+            if key in fact.columns:
+                assert duplicate_keys(dimension, [key]).isEmpty()
+                assert orphan_keys(fact, key, dimension, key).isEmpty()
+    activity = {r.id_aktivitas_sumber: r for r in facts["fakta_aktivitas_belajar"].collect()}
+    assert activity["ZB-AK-R1"].durasi_menit == 1
+    assert activity["ZB-AK-R1"].perangkat_key is not None
+    assert activity["PN-AK-T1"].perangkat_key is None
+    payment = {r.id_transaksi_sumber: r for r in facts["fakta_transaksi"].collect()}
+    assert payment["ZB-TR-O1"].paket_key is not None and payment["ZB-TR-O2"].paket_key is None
+    assert payment["ZB-TR-O2"].metode_bayar_key is None
+    assert tuple(payment["ZB-TR-O2"])[-3:] == (0, 0, 0)
+    enrolled = {r.id_pendaftaran_sumber: r for r in facts["fakta_pendaftaran_program"].collect()}
+    assert (enrolled["ZB-PD-E1"].waktu_key is not None) == options.enrolment_dates
+    reviews = {r.id_ulasan_sumber: r for r in facts["fakta_ulasan"].collect()}
+    assert reviews["ZB-UL-F2"].komentar_tersedia_flag == 0
+    assert reviews["PN-UL-U1"].komentar_tersedia_flag == 1
+
+
+def test_person_has_the_attributes_of_one_account(staging):
+    people = build_dimensions(staging)["dim_pengguna"]
+    ana = people.where("nama_pengguna like 'Ana%'").collect()
+    # by platform name the second source comes before the first
+    assert [(r.nama_pengguna, r.provinsi) for r in ana] == [("Ana B", "Tidak Diketahui")]
+
+
+@pytest.mark.parametrize("fact_key", ["event", "dimensions"])
+def test_pipeline_from_files_with_missing_tables(spark, tmp_path, fact_key):
+    given, folder = sources(spark, **GIVEN), str(tmp_path / "given")
+    formats = {"zb": "parquet", "rc": "json", "kj": "json", "pn": "csv"}
+    for code, tables in given.items():
+        for name, df in tables.items():
+            if f"{code}_{name}" not in GIVEN:
+                continue
+            path = file_sources(folder, formats)[code][name].path
+            writer = df.coalesce(1).write
+            writer = writer.option("header", True) if formats[code] == "csv" else writer
+            writer.format(formats[code]).save(path)
+    config = PipelineConfig(
+        file_sources(folder, formats), str(tmp_path / "run"), "B1", AS_OF, fact_key=fact_key
+    )
+    first = {r.table: r for r in run_pipeline(spark, config).results}
+    assert set(first) == {*STAGING, *DIMENSIONS, *FACTS}
+    assert first["olah_aktivitas_belajar"].n_new == 2
+    assert first["fakta_hasil_latihan"].n_new == 4
+    second = run_pipeline(spark, replace(config, batch_id="B2"))
+    for result in second.results:
+        if result.table in FACTS or result.table in EVENT_TABLES:
+            assert result.n_new == 0 and result.n_in == first[result.table].n_in
+    summary = second.as_frame(spark)
+    assert summary.where("n_skipped = n_in - n_new").count() == 23
