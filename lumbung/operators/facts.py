@@ -53,6 +53,7 @@ def build_fact(
         *(F.col(column).alias(f"__{column}") for column in natural),
         *(item.expression.alias(item.name) for item in columns),
     )
+    given = rows
     # broadcast lookups first: they do not move rows
     for item in sorted(lookups, key=lambda item: not item.size_bounded):
         dimension = dimensions[item.dimension]
@@ -60,7 +61,9 @@ def build_fact(
         if item.size_bounded:
             rows = lookup(rows, bounded(dimension), on, take)
         elif hot_keys:
-            rows = salted_lookup(rows, dimension, on, take, hot_keys=hot_keys)
+            rows = salted_lookup(
+                rows, dimension, on, take, hot_keys=hot_keys, count_in=given
+            )
         else:
             rows = lookup(rows, dimension, on, take)
     return rows.select(

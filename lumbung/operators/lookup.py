@@ -52,6 +52,7 @@ def salted_lookup(
     *,
     hot_keys: int = 64,
     salts: int = 16,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """The same as ``lookup``, with the most frequent left keys split up.
 
@@ -60,11 +61,16 @@ def salted_lookup(
     the list that is broadcast has ``hot_keys`` rows at most.  Left rows with a
     hot key (or with a NULL key, which never matches) get a salt; the matching
     right rows are repeated once per salt.  All other keys are joined as usual.
+
+    ``count_in`` is a frame with the same keys in which to count them, for
+    instance the rows before an earlier lookup, so that the count does not have
+    to repeat that lookup.  It only decides which keys are split.
     """
     left_keys, right_keys = list(on), list(on.values())
     names = [f"__hot{i}" for i in range(len(left_keys))]
     hot = (
-        left.groupBy(*left_keys)
+        (left if count_in is None else count_in)
+        .groupBy(*left_keys)
         .agg(F.count(F.lit(1)).alias("__n"))
         .dropna(subset=left_keys)
         .orderBy(F.desc("__n"), *left_keys)

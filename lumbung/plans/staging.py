@@ -178,7 +178,9 @@ def resolve_events(
     def fetch(rows: DataFrame, bridge: DataFrame, id_: str, global_id_: str) -> DataFrame:
         on = {"nama_platform": "nama_platform", id_: id_}
         if hot_keys:
-            return salted_lookup(rows, bridge, on, [global_id_], how, hot_keys=hot_keys)
+            return salted_lookup(
+                rows, bridge, on, [global_id_], how, hot_keys=hot_keys, count_in=events
+            )
         return lookup(rows, bridge, on, [global_id_], how)
 
     rows = fetch(events, users, "id_pengguna_platform", "id_pengguna_global")

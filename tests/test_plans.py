@@ -25,6 +25,7 @@ from lumbung.plans.staging import (
 )
 from lumbung.plans.warehouse import WarehouseOptions, build_dimensions, build_facts
 from lumbung.sources.readers import empty_table
+from lumbung.sources.stores import ParquetStore
 
 DAY = dt.date(2024, 1, 10)
 AS_OF = StagingOptions(as_of=dt.date(2024, 6, 30))
@@ -88,7 +89,7 @@ GIVEN = {
 @pytest.fixture(scope="module")
 def staging(spark):
     tables = build_staging(spark, sources(spark, **GIVEN), AS_OF)
-    return {name: df.persist() for name, df in tables.items()}
+    return {name: frame(spark, df.schema, *df.collect()) for name, df in tables.items()}
 
 
 def test_staging_has_the_declared_columns(spark, staging):
@@ -204,9 +205,10 @@ def test_renamed_source_columns_are_found(spark):
 
 
 @pytest.mark.parametrize("options", [WarehouseOptions(), WarehouseOptions("md5_60", True, 4)])
-def test_warehouse(spark, staging, options):
-    dimensions = {n: df.persist() for n, df in build_dimensions(staging, options).items()}
-    facts = {n: df.persist() for n, df in build_facts(staging, dimensions, options).items()}
+def test_warehouse(spark, staging, options, tmp_path):
+    store = ParquetStore(spark, str(tmp_path))
+    dimensions = {n: store.write(n, df) for n, df in build_dimensions(staging, options).items()}
+    facts = {n: store.write(n, df) for n, df in build_facts(staging, dimensions, options).items()}
     for name, ddl in {**DIMENSIONS, **FACTS}.items():
         declared = [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl)]
         assert ({**dimensions, **facts})[name].dtypes == declared, name
