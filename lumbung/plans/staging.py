@@ -176,7 +176,8 @@ def resolve_events(
     """
 
     def fetch(rows: DataFrame, bridge: DataFrame, id_: str, global_id_: str) -> DataFrame:
-        on = {"nama_platform": "nama_platform", id_: id_}
+        # the id first: a sort compares it before the platform, which has few values
+        on = {id_: id_, "nama_platform": "nama_platform"}
         if hot_keys:
             return salted_lookup(
                 rows, bridge, on, [global_id_], how, hot_keys=hot_keys, count_in=events

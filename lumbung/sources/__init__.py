@@ -7,15 +7,17 @@ from lumbung.sources.readers import (
     read_sql_dump,
     read_table,
 )
-from lumbung.sources.stores import JdbcStore, ParquetStore, shared_folder
+from lumbung.sources.stores import JdbcStore, LoadResult, ParquetStore, jdbc_column_types, shared_folder
 
 __all__ = [
     "JdbcStore",
+    "LoadResult",
     "ParquetStore",
     "SqlDump",
     "TableSource",
     "csv_to_documents",
     "empty_table",
+    "jdbc_column_types",
     "literal_table",
     "read_sql_dump",
     "read_table",

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lumbung.operators.load import audit_columns, new_rows
 from lumbung.sources.paths import path_exists
@@ -133,8 +134,10 @@ class ParquetStore:
 class JdbcStore:
     """The same tables in a database, over JDBC.
 
-    ``numPartitions`` bounds the number of connections; rows are never brought
-    together in one task to be written.
+    ``num_partitions`` bounds the number of connections; rows are never brought
+    together in one task to be written.  ``partitioning`` names, per table, the
+    options by which it is read in parallel.  ``column_types`` are the types of
+    tables that Spark has to create (see ``jdbc_column_types``).
     """
 
     spark: SparkSession
@@ -143,11 +146,13 @@ class JdbcStore:
     num_partitions: int = 8
     batch_size: int = 500
     column_types: Mapping[str, str] = field(default_factory=dict)
+    partitioning: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
-    def read_options(self, table: str, partitioning: Mapping[str, str] | None = None) -> dict:
-        return {"url": self.url, "dbtable": table, **self.properties, **(partitioning or {})}
+    def read_options(self, table: str) -> dict[str, str]:
+        more = self.partitioning.get(table, {})
+        return {"url": self.url, "dbtable": table, **self.properties, **more}
 
-    def write_options(self, table: str, mode: str) -> dict:
+    def write_options(self, table: str, mode: str) -> dict[str, str]:
         options = {
             "url": self.url,
             "dbtable": table,
@@ -161,11 +166,21 @@ class JdbcStore:
             options["createTableColumnTypes"] = self.column_types[table]
         return options
 
-    def read(self, table: str, partitioning: Mapping[str, str] | None = None) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.read_options(table, partitioning)).load()
+    def exists(self, table: str) -> bool:
+        """S7, by the standard catalogue; an error of the connection is raised."""
+        options = {**self.properties, "url": self.url}
+        found = f"SELECT table_name FROM information_schema.tables WHERE table_name = '{table}'"
+        reader = self.spark.read.format("jdbc").options(**options)
+        return not reader.option("query", found).load().isEmpty()
 
-    def snapshot(self, table: str, df: DataFrame, batch_id: str, schema: str) -> None:
-        self._write(table, audit_columns(conform_schema(df, schema), batch_id), "overwrite")
+    def read(self, table: str) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**self.read_options(table)).load()
+
+    def snapshot(self, table: str, df: DataFrame, batch_id: str, schema: str) -> LoadResult:
+        """The old rows are truncated, so the table keeps its definition."""
+        self.write(table, audit_columns(conform_schema(df, schema), batch_id), "overwrite")
+        n_rows = self.read(table).count()
+        return LoadResult(table, n_rows, n_rows)
 
     def append_new(
         self,
@@ -175,11 +190,38 @@ class JdbcStore:
         batch_id: str,
         schema: str,
         *,
-        existing: DataFrame | None,
         null_safe: bool = False,
-    ) -> None:
+        count_input: bool = True,
+    ) -> LoadResult:
+        """L5/L8.  A repeated batch adds what its failed run has not written.
+
+        That goes by the keys, so a batch should not hold one key twice when it
+        may have to be repeated; the event ids of the pipeline are unique.
+        """
+        existing = self.read(table) if self.exists(table) else None
         fresh = new_rows(conform_schema(df, schema), existing, keys, null_safe=null_safe)
-        self._write(table, audit_columns(fresh, batch_id), "append")
+        self.write(table, audit_columns(fresh, batch_id), "append")
+        n_new = self.read(table).where(F.col("etl_batch_id") == batch_id).count()
+        return LoadResult(table, df.count() if count_input else None, n_new)
 
-    def _write(self, table: str, df: DataFrame, mode: str) -> None:
+    def write(self, table: str, df: DataFrame, mode: str) -> None:
         df.write.format("jdbc").options(**self.write_options(table, mode)).mode(mode).save()
+
+
+def jdbc_column_types(schema: str, text_length: int = 255, long_texts: Sequence[str] = ()) -> str:
+    """The ``createTableColumnTypes`` of a declared schema.
+
+    Text gets a length (1000 for ``long_texts``) because databases do not
+    index unbounded text; the other types have the same name on both sides.
+    """
+
+    def sql_type(name: str, kind: str) -> str:
+        if kind == "string":
+            return f"VARCHAR({1000 if name in long_texts else text_length})"
+        return kind.upper()
+
+    declared = f"{schema}, etl_loaded_at timestamp, etl_batch_id string"
+    return ", ".join(
+        f"{f.name} {sql_type(f.name, f.dataType.simpleString())}"
+        for f in StructType.fromDDL(declared).fields
+    )

@@ -5,7 +5,7 @@ from helpers import frame, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from lumbung.operators import audit_columns, new_batch_id, new_rows
-from lumbung.sources.stores import JdbcStore, ParquetStore, shared_folder
+from lumbung.sources.stores import JdbcStore, ParquetStore, jdbc_column_types, shared_folder
 from lumbung.streaming import append_file_drops
 
 FACT = "day bigint, device bigint, event string"
@@ -140,14 +140,53 @@ def test_file_drops_are_loaded_once(spark, tmp_path):
 
 
 def test_jdbc_options_bound_the_connections(spark):
+    split = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
     store = JdbcStore(
         spark, "jdbc:mysql://h/db", {"user": "u"}, num_partitions=4,
-        column_types={"dim_paket": "jenis_paket VARCHAR(50)"},
+        column_types={"dim_paket": "jenis_paket VARCHAR(50)"}, partitioning={"t": split},
     )
     options = store.write_options("dim_paket", "overwrite")
     assert options["numPartitions"] == "4" and options["batchsize"] == "500"
     assert options["truncate"] == "true"
     assert options["createTableColumnTypes"] == "jenis_paket VARCHAR(50)"
     assert "truncate" not in store.write_options("olah_ulasan", "append")
-    split = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
-    assert store.read_options("t", split)["partitionColumn"] == "id"
+    assert store.read_options("t")["partitionColumn"] == "id"
+    assert "partitionColumn" not in store.read_options("other")
+
+
+def test_jdbc_column_types():
+    types = jdbc_column_types("id string, day date, paid decimal(15,2), komentar string", 100, ["komentar"])
+    assert types == (
+        "id VARCHAR(100), day DATE, paid DECIMAL(15,2), komentar VARCHAR(1000),"
+        " etl_loaded_at TIMESTAMP, etl_batch_id VARCHAR(100)"
+    )
+
+
+class StoreOfFolders(JdbcStore):
+    """The JDBC policy with folders in place of a database."""
+
+    def path(self, table):
+        return f"{self.url}/{table}"
+
+    def exists(self, table):
+        import os
+
+        return os.path.exists(self.path(table))
+
+    def read(self, table):
+        return self.spark.read.parquet(self.path(table))
+
+    def write(self, table, df, mode):
+        df.write.mode(mode).parquet(self.path(table))
+
+
+def test_jdbc_policy_resumes_a_failed_batch(spark, folder):
+    store = StoreOfFolders(spark, folder, {})
+    schema = "id int, state string"
+    rows = frame(spark, schema, (1, "a"), (2, "b"), (3, "c"))
+    store.append_new("t", rows.where("id = 1"), ["id"], "B1", schema)
+    store.append_new("t", rows.where("id < 3"), ["id"], "B2", schema)  # as if it had failed here
+    result = store.append_new("t", rows, ["id"], "B2", schema)
+    assert (result.n_in, result.n_new) == (3, 2)
+    assert rows_of(store.read("t").select("id")) == [(1,), (2,), (3,)]
+    assert store.snapshot("d", rows, "B1", schema).n_new == 3
