@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from lumbung.operators.conform import union_all
-from lumbung.operators.lookup import bounded
 
 
 def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
@@ -94,8 +93,8 @@ def score_stats(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str]) -> DataFrame:
     """Q6: equal-width bins between the least and the greatest value per group.
 
-    The last bin is closed.  The groups are source tags, one per configured
-    source, so the table of their ranges is broadcast.
+    The last bin is closed.  Rows are counted per value before the ranges are
+    joined to them; the optimizer chooses that join by the size of the two aggregates.
     """
     counts = (
         df.where(F.col(column).isNotNull())
@@ -112,7 +111,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str]) -> DataF
         F.least(position, F.lit(bins - 1))
     )
     return (
-        counts.join(bounded(ranges), list(by))
+        counts.join(ranges, list(by))
         .groupBy(*by, bin_number.cast("int").alias("bin"))
         .agg(F.sum("__n").alias("n_rows"))
     )

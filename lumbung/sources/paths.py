@@ -1,4 +1,4 @@
-"""Existence checks through the Hadoop file system, so any storage works."""
+"""Existence checks and listings through the Hadoop file system, so any storage works."""
 
 from __future__ import annotations
 
@@ -6,6 +6,16 @@ from pyspark.sql import SparkSession
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _open(spark, path)
+    return file_system.exists(hadoop_path)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    file_system, hadoop_path = _open(spark, path)
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+
+
+def _open(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+    return hadoop_path.getFileSystem(conf), hadoop_path

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lumbung.operators.load import audit_columns, new_rows
-from lumbung.sources.paths import path_exists
+from lumbung.sources.paths import child_names, path_exists
 from lumbung.sources.readers import conform_schema
 
 
@@ -22,7 +22,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     Only a local session may do without that setting; there all tasks run on
     one machine and a temporary folder is as good.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -75,6 +75,14 @@ class ParquetStore:
         declared = f"{schema}, etl_loaded_at timestamp, etl_batch_id string"
         return self.spark.read.schema(declared).parquet(self.path(table))
 
+    def batch_ids(self, table: str) -> list[str]:
+        """The batches an appended table consists of, by the names of its partitions."""
+        if not self.exists(table):
+            return []
+        prefix = "etl_batch_id="
+        names = child_names(self.spark, self.path(table))
+        return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
     def write(self, table: str, df: DataFrame) -> DataFrame:
         """L1: overwrite, and give back the table as written.
 
@@ -166,6 +174,13 @@ class JdbcStore:
             options["createTableColumnTypes"] = self.column_types[table]
         return options
 
+    def batch_ids(self, table: str) -> list[str]:
+        """The batches the table consists of; one row per load."""
+        if not self.exists(table):
+            return []
+        rows = self.read(table).select("etl_batch_id").distinct().collect()
+        return sorted(row.etl_batch_id for row in rows)
+
     def exists(self, table: str) -> bool:
         """S7, by the standard catalogue; an error of the connection is raised."""
         options = {**self.properties, "url": self.url}

@@ -24,7 +24,7 @@ from lumbung.plans.staging import (
     user_bridge,
 )
 from lumbung.plans.warehouse import WarehouseOptions, build_dimensions, build_facts
-from lumbung.sources.readers import empty_table
+from lumbung.sources.readers import TableSource, empty_table
 from lumbung.sources.stores import ParquetStore
 
 DAY = dt.date(2024, 1, 10)
@@ -265,3 +265,36 @@ def test_pipeline_from_files_with_missing_tables(spark, tmp_path, fact_key):
             assert result.n_new == 0 and result.n_in == first[result.table].n_in
     summary = second.as_frame(spark)
     assert summary.where("n_skipped = n_in - n_new").count() == 23
+
+
+def test_modelling_new_batches_only_ends_in_the_same_facts(spark, tmp_path):
+    def run(scope: str):
+        folder = str(tmp_path / scope)
+        for number, n_events in enumerate((3, 7)):
+            rows = {**GIVEN, "zb_riwayat_belajar": GIVEN["zb_riwayat_belajar"][:n_events]}
+            rows["zb_riwayat_belajar"] = rows["zb_riwayat_belajar"] + [
+                (f"N{i}", "M1", "PRG1", dt.datetime(2024, 2, 1 + i), None, 60, "ipad")
+                for i in range(n_events)
+            ]
+            given = sources(spark, **rows)
+            store = ParquetStore(spark, f"{folder}/given{number}")
+            tables = {
+                code: {
+                    name: TableSource(name, SOURCES[code][name], "parquet", store.path(f"{code}/{name}"))
+                    for name in SOURCES[code]
+                    if f"{code}_{name}" in rows
+                    and store.write(f"{code}/{name}", given[code][name]) is not None
+                }
+                for code in SOURCES
+            }
+            config = PipelineConfig(tables, folder, f"B{number}", AS_OF, fact_scope=scope)
+            summary = {r.table: r for r in run_pipeline(spark, config).results}
+        target = config.target(spark, "warehouse")
+        drop = ("etl_loaded_at",)
+        return summary, {name: rows_of(target.read(name).drop(*drop)) for name in FACTS}
+
+    every, facts = run("all")
+    new, same_facts = run("new")
+    assert facts == same_facts
+    assert every["fakta_aktivitas_belajar"].n_in == 9
+    assert new["fakta_aktivitas_belajar"].n_in == new["fakta_aktivitas_belajar"].n_new == 4
