@@ -1,5 +1,4 @@
 from lumbung.functions.clean import (
-    any_of,
     blank_to_unknown,
     category_of,
     equality_flag,
@@ -25,7 +24,6 @@ from lumbung.functions.standardize import Mapping, standardize, standardize_with
 
 __all__ = [
     "Mapping",
-    "any_of",
     "blank_to_unknown",
     "category_of",
     "equality_flag",

@@ -119,14 +119,6 @@ def whole_number(value: Column) -> Column:
     return value.cast("int")
 
 
-def any_of(tests: Iterable[Column]) -> Column:
-    """The disjunction of some tests."""
-    result = F.lit(False)
-    for test in tests:
-        result = result | test
-    return result
-
-
 def _case(value: Column, cases: MappingType[str, object]) -> Column:
     result = None
     for key, label in cases.items():

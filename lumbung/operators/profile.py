@@ -127,10 +127,14 @@ def timeline(df: DataFrame, date_column: str, by: Sequence[str]) -> DataFrame:
 def conversion(
     df: DataFrame, package: str, free_labels: Sequence[str], amount: str, by: Sequence[str]
 ) -> DataFrame:
-    """Q8: the share of payments for a paid package, and with an amount above zero."""
+    """Q8: the share of payments for a paid package, and with an amount above zero.
+
+    A payment without a package label is not one for a free package.
+    """
+    free = F.coalesce(F.col(package).isin(*free_labels), F.lit(False))
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        share(~F.col(package).isin(*free_labels)).alias("paid_package_pct"),
+        share(~free).alias("paid_package_pct"),
         share(F.col(amount) > 0).alias("paid_amount_pct"),
     )
 

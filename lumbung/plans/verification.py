@@ -157,9 +157,10 @@ def package_counts(sources: Sources) -> DataFrame:
 def paid_conversion(sources: Sources) -> DataFrame:
     """The share of payments not for the platform's free package, and above zero."""
     payments = observations(sources, PAYMENTS)
+    free = F.coalesce(F.col("package") == _per_code(FREE_PACKAGES), F.lit(False))
     return payments.groupBy(PLATFORM).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        share(F.col("package") != _per_code(FREE_PACKAGES)).alias("paid_package_pct"),
+        share(~free).alias("paid_package_pct"),
         share(F.col("amount") > 0).alias("paid_amount_pct"),
     )
 

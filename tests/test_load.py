@@ -2,7 +2,6 @@ import random
 
 import pytest
 from helpers import frame, plan_of, rows_of
-from pyspark.sql import functions as F
 
 from lumbung.operators import audit_columns, new_batch_id, new_rows
 from lumbung.sources.stores import JdbcStore, ParquetStore, jdbc_column_types, shared_folder

@@ -31,7 +31,6 @@ from lumbung.functions import (
 )
 from lumbung.operators import (
     at_least,
-    bounded,
     date_dimension,
     dedup_by_key,
     distinct_values,
@@ -135,14 +134,12 @@ def blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     " (l_quantity * 60)::DECIMAL(10,2) AS minutes_of_hours,"
     " (l_quantity / 10)::DECIMAL(5,2) AS score, (l_quantity / 2)::DECIMAL(3,1) AS rating,"
     " trunc(l_quantity / 4)::INTEGER AS whole,"
-    " CASE WHEN l_extendedprice < 9999.995 THEN round(l_extendedprice)::DECIMAL(4,0) END"
-    " AS too_big FROM lineitem WHERE l_extendedprice < 9999 OR l_extendedprice > 10000",
+    " CASE WHEN round(l_extendedprice) < 10000 THEN round(l_extendedprice)::DECIMAL(4,0) END"
+    " AS too_big FROM lineitem",
 )
 def unit_rescale(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = F.col("l_quantity")
-    rows = table(spark, sf_dir, "lineitem")
-    rows = rows.where("l_extendedprice < 9999 OR l_extendedprice > 10000")
-    return rows.select(
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.operators.conform import union_all
-from lumbung.operators.dimensions import date_dimension
+from lumbung.operators.dimensions import date_dimension, value_dimension
 from lumbung.operators.facts import build_fact
 from lumbung.operators.lookup import bounded, lookup
 from lumbung.plans import warehouse as w
-from lumbung.plans.fixed_values import MONTH_NAMES
+from lumbung.plans.fixed_values import MONTH_NAMES, UNKNOWN_DEVICE
 from lumbung.plans.pipeline import PipelineConfig, run_pipeline
 from lumbung.plans.schemas import DIMENSIONS, FACTS, SOURCES, STAGING
 from lumbung.plans.staging import (
@@ -266,7 +266,12 @@ def monthly_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = stage(spark, sf_dir, ["olah_aktivitas_belajar"], store)
     events = staging["olah_aktivitas_belajar"]
     days = date_dimension([(events, "tanggal_aktivitas")], MONTH_NAMES)
-    devices = w.dim_perangkat({**staging, "olah_ulasan": events.limit(0)}, OPTIONS)
+    devices = value_dimension(
+        [(events, "perangkat_standar")],
+        "kategori_perangkat",
+        "perangkat_key",
+        keep=F.col("kategori_perangkat") != UNKNOWN_DEVICE,
+    )
     platforms = _platforms(staging)
     fact = w.fact_tables()["fakta_aktivitas_belajar"]
     facts = build_fact(
