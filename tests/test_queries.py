@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import TABLES, rows
+from workload.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("LUMBUNG_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason=f"{SF_DIR} is not there")
@@ -21,10 +22,11 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     df = contract.queries()[name](spark, SF_DIR)
     result = con.execute(contract.oracle_sql()[name])
