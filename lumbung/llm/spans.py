@@ -87,7 +87,7 @@ class Run:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _powers or len(_powers["up"]) <= n:
-        size = max(1 << 16, 1 << (n + 1).bit_length())
+        size = ((n >> 20) + 1) << 20
         for name, base in (("up", _MULTIPLIER), ("down", _INVERSE)):
             table = np.full(size, base, np.uint64)
             table[0] = 1
