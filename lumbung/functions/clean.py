@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping as MappingType, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 UNKNOWN_PLACE = "Tidak Diketahui"
 
@@ -54,14 +55,17 @@ def rescale(
     """Convert a unit or a scale and fix the precision of the result.
 
     The value is NULL when it does not fit ``decimal_type``, so that an absurd
-    measure is rejected by the gate and does not abort the job.
+    measure is rejected by the gate and does not abort the job.  The plain
+    comparison before the cast keeps such values off its slow path.
     """
     value = _col(column)
+    kind = DecimalType.fromDDL(decimal_type)
     if times != 1:
         value = value * F.lit(times)
     if divided_by != 1:
         value = value / F.lit(divided_by)
-    return value.try_cast(decimal_type)
+    limit = F.lit(float(10 ** (kind.precision - kind.scale)))
+    return F.when(F.abs(value.try_cast("double")) < limit, value.try_cast(decimal_type))
 
 
 def threshold_label(

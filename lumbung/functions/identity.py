@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -17,20 +18,22 @@ def pii_hash(column: Column | str) -> Column:
     return F.md5(F.lower(value))
 
 
-def global_id(prefix: str, identity: Column) -> Column:
+def global_id(prefix: str, identity: Column, digits: int = 32) -> Column:
     """An id that depends on the identity alone.
 
     Equal identities of different sources get equal ids without a distinct, a
-    shuffle or a join, and a later run gives the same id again.
+    shuffle or a join, and a later run gives the same id again.  All ``digits``
+    of the hash are kept; fewer are for short ids of old readers, and merge
+    identities beyond some ten thousand (8 digits), so check ``key_collisions``.
     """
-    return F.concat(F.lit(prefix), F.upper(F.substring(F.md5(identity), 1, 8)))
+    return F.concat(F.lit(prefix), F.upper(F.substring(F.md5(identity), 1, digits)))
 
 
-def surrogate_key(natural: Column, kind: KeyKind = "crc32") -> Column:
+def surrogate_key(natural: Column, kind: KeyKind = "md5_60") -> Column:
     """I4: a numeric key which is a pure function of the natural key.
 
-    ``crc32`` has 32 bits: expect about n^2/2^33 collisions, that is one near
-    90 thousand keys.  ``md5_60`` has 60 bits and is the choice at scale.
+    ``md5_60`` has 60 bits.  ``crc32`` has 32: expect about n^2/2^33 collisions,
+    that is one near 90 thousand keys, so its users check ``key_collisions``.
     """
     text = natural.cast("string")
     if kind == "crc32":
@@ -40,6 +43,27 @@ def surrogate_key(natural: Column, kind: KeyKind = "crc32") -> Column:
     raise ValueError(f"unknown key kind: {kind!r}")
 
 
+def collision_report(tables: Mapping[str, tuple[DataFrame, str, Column | str]]) -> DataFrame:
+    """I5 over several tables: natural keys, keys and keys that stand for more than one.
+
+    ``tables`` maps a name to (frame, key, natural key).  A NULL key or natural
+    key names nothing and is left out.
+    """
+
+    def one(name: str, df: DataFrame, key: str, natural: Column | str) -> DataFrame:
+        value = F.col(natural) if isinstance(natural, str) else natural
+        pairs = df.select(F.col(key).alias("key"), value.cast("string").alias("natural")).dropna().distinct()
+        per_key = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        return per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_natural"),
+            F.count(F.lit(1)).alias("n_keys"),
+            F.count_if(F.col("n") > 1).alias("n_collisions"),
+        ).select(F.lit(name).alias("table_name"), "n_natural", "n_keys", "n_collisions")
+
+    parts = [one(name, *spec) for name, spec in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def key_collisions(df: DataFrame, key: str, natural: Sequence[str]) -> DataFrame:
     """Keys that stand for more than one natural key.
 

@@ -15,7 +15,7 @@ from lumbung.operators.conform import distinct_values
 def date_dimension(
     columns: Iterable[tuple[DataFrame, str]],
     month_names: Mapping[int, str],
-    key_kind: KeyKind = "crc32",
+    key_kind: KeyKind = "md5_60",
 ) -> DataFrame:
     """One row per day that occurs in any of the given date columns.
 
@@ -38,7 +38,7 @@ def value_dimension(
     key: str,
     attributes: Mapping[str, Column] | None = None,
     keep: Column | None = None,
-    key_kind: KeyKind = "crc32",
+    key_kind: KeyKind = "md5_60",
 ) -> DataFrame:
     """One row per different value, with a key and derived attributes."""
     values = distinct_values(columns, name)

@@ -17,6 +17,7 @@ Three ways to run the same lookup:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,16 +52,19 @@ def salted_lookup(
     how: str = "left",
     *,
     hot_keys: int = 64,
-    salts: int = 16,
+    salts: int | None = None,
     count_in: DataFrame | None = None,
 ) -> DataFrame:
     """The same as ``lookup``, with the most frequent left keys split up.
 
     The ``hot_keys`` most frequent keys are found by a pre-aggregated count.
     Any key that holds more than 1/``hot_keys`` of the rows is among them, and
-    the list that is broadcast has ``hot_keys`` rows at most.  Left rows with a
-    hot key (or with a NULL key, which never matches) get a salt; the matching
-    right rows are repeated once per salt.  All other keys are joined as usual.
+    the list that is broadcast has ``hot_keys`` rows at most.  A hot key is split
+    into as many parts as its share of the rows is worth shuffle partitions, so
+    that no part exceeds the mean partition; ``salts`` sets another number for
+    all of them.  The matching right rows are repeated once per part.  All other
+    keys are joined as usual.  Rows with a NULL key match nothing: they are not
+    shuffled and get their NULL attributes in place.
 
     ``count_in`` is a frame with the same keys in which to count them, for
     instance the rows before an earlier lookup, so that the count does not have
@@ -68,14 +72,22 @@ def salted_lookup(
     """
     left_keys, right_keys = list(on), list(on.values())
     names = [f"__hot{i}" for i in range(len(left_keys))]
-    hot = (
+    counts = (
         (left if count_in is None else count_in)
         .groupBy(*left_keys)
         .agg(F.count(F.lit(1)).alias("__n"))
         .dropna(subset=left_keys)
-        .orderBy(F.desc("__n"), *left_keys)
+    )
+    if salts is None:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        worth = F.ceil(F.col("__n") * partitions / counts.agg(F.sum("__n")).scalar())
+        parts = F.greatest(F.lit(1), worth).cast("int")
+    else:
+        parts = F.lit(salts)
+    hot = (
+        counts.orderBy(F.desc("__n"), *left_keys)
         .limit(hot_keys)
-        .select(*(F.col(key).alias(name) for key, name in zip(left_keys, names)), F.lit(True).alias("__is_hot"))
+        .select(*(F.col(key).alias(name) for key, name in zip(left_keys, names)), parts.alias("__parts"))
     )
 
     def mark(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -84,24 +96,26 @@ def salted_lookup(
 
     # the salt depends on the row and on its input partition, both of which a
     # retried task sees again
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    no_key = F.lit(False)
-    for key in left_keys:
-        no_key = no_key | F.col(key).isNull()
+    own = F.xxhash64(*left.columns) + F.spark_partition_id()
+    no_key = reduce(lambda a, b: a | b, (F.col(key).isNull() for key in left_keys))
     salted_left = (
-        mark(left, left_keys)
-        .withColumn("__salt", F.when(F.col("__is_hot") | no_key, spread).otherwise(F.lit(0)))
-        .drop("__is_hot")
+        mark(left.where(~no_key), left_keys)
+        .withColumn("__salt", F.coalesce(F.pmod(own, F.col("__parts")).cast("int"), F.lit(0)))
+        .drop("__parts")
     )
-    every_salt = F.when(
-        F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
+    every_salt = F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1)
     wanted = [*dict.fromkeys([*right_keys, *take])]
     salted_right = mark(right.select(*wanted), right_keys).select(
         *wanted, F.explode(every_salt).alias("__salt")
     )
-    joined = lookup(salted_left, salted_right, {**on, "__salt": "__salt"}, take, how)
-    return joined.drop("__salt")
+    joined = lookup(salted_left, salted_right, {**on, "__salt": "__salt"}, take, how).drop("__salt")
+    if how == "inner":
+        return joined
+    kinds = {field.name: field.dataType for field in right.schema}
+    takes = take if isinstance(take, Mapping) else {name: name for name in take}
+    return joined.unionByName(
+        left.where(no_key).withColumns({new: F.lit(None).cast(kinds[old]) for old, new in takes.items()})
+    )
 
 
 def _prepare(left, right, on, take):

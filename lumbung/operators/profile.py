@@ -69,25 +69,83 @@ def month_profile(
 
 
 def score_stats(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
-    """Q5: mean and exact median of a score.
+    """Q5: mean and exact median of a score of any numeric type.
 
-    The rows are counted per value first, so the median buffer of a group holds
-    one entry per different value and not per row.  The score has to be a
-    decimal of six digits at most: that bounds the buffer by its type (a
-    decimal(5,2) between 0 and 100 has 10,001 values), however many rows there are.
+    The rows are counted per value first.  A decimal of six digits at most bounds
+    the number of values by its type (a decimal(5,2) between 0 and 100 has
+    10,001), so there the median buffer of a group is small.  Any other type goes
+    through ``exact_median``, which never holds all values of a group.
     """
     kind = df.schema[column].dataType
-    if not isinstance(kind, DecimalType) or kind.precision > 6:
-        raise TypeError(f"{column} has to be a decimal of six digits at most, not {kind}")
-    counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
+    rows = df.where(F.col(column).isNotNull())
+    counts = rows.groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n"))
     value, n = F.col(column), F.col("__n")
-    return counts.groupBy(*by).agg(
-        F.sum(n).alias("n_rows"),
-        F.round((F.sum(value * n) / F.sum(n)).cast("double"), 4).alias("mean"),
-        F.round(F.percentile(value.cast("double"), F.lit(0.5), n), 4).alias("median"),
+    mean = F.round((F.sum(value * n) / F.sum(n)).cast("double"), 4).alias("mean")
+    total = F.sum(n).alias("n_rows")
+    if isinstance(kind, DecimalType) and kind.precision <= 6:
+        median = F.percentile(value.cast("double"), F.lit(0.5), n)
+        return counts.groupBy(*by).agg(total, mean, F.round(median, 4).alias("median"))
+    medians = exact_median(rows, column, by).select(*by, F.round("median", 4).alias("median"))
+    return _join_groups(counts.groupBy(*by).agg(total, mean), medians, by)
+
+
+def exact_median(df: DataFrame, column: str, by: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+    """The median of each group without ordering all of its values.
+
+    An approximate quantile a little below and one a little above the middle
+    bound a narrow range.  Counting the rows below and inside it proves whether
+    the middle ranks lie in it (else the group's whole range is taken), and only
+    the values of that range are ordered.
+    """
+    value = F.col(column).cast("double")
+    rows = df.where(F.col(column).isNotNull()).select(*by, value.alias("__v"))
+    margin = 2.0 / accuracy
+    bounds = rows.groupBy(*by).agg(
+        F.percentile_approx("__v", F.lit(0.5 - margin), F.lit(accuracy)).alias("__low"),
+        F.percentile_approx("__v", F.lit(0.5 + margin), F.lit(accuracy)).alias("__high"),
+        F.min("__v").alias("__least"),
+        F.max("__v").alias("__most"),
+        F.count(F.lit(1)).alias("__all"),
+    )
+    # ranks of the two middle values, from 1
+    first, last = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1
+    placed = _join_groups(rows, bounds, by)
+    proof = placed.groupBy(*by).agg(
+        F.count_if(F.col("__v") < F.col("__low")).alias("__below"),
+        F.count_if(F.col("__v") <= F.col("__high")).alias("__upto"),
+    )
+    holds = (F.col("__below") < first) & (F.col("__upto") >= last)
+    ranges = _join_groups(bounds, proof, by).select(
+        *by,
+        F.when(holds, F.col("__low")).otherwise(F.col("__least")).alias("__low"),
+        F.when(holds, F.col("__high")).otherwise(F.col("__most")).alias("__high"),
+        F.when(holds, F.col("__below")).otherwise(F.lit(0)).alias("__below"),
+        first.alias("__first"),
+        last.alias("__last"),
+    )
+    inside = (
+        _join_groups(rows, ranges, by)
+        .where(F.col("__v").between(F.col("__low"), F.col("__high")))
+        .groupBy(*by, "__v", "__below", "__first", "__last")
+        .agg(F.count(F.lit(1)).alias("__n"))
     )
+    upto = F.col("__below") + F.sum("__n").over(
+        Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ranked = inside.withColumn("__upto", upto)
+
+    def at(rank: str) -> Column:
+        return F.min(F.when(F.col("__upto") >= F.col(rank), F.col("__v")))
+
+    return ranked.groupBy(*by).agg(((at("__first") + at("__last")) / 2).alias("median"))
+
+
+def _join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Join per-group values by group; a NULL group is a group."""
+    names = {name: f"__by{i}" for i, name in enumerate(by)}
+    renamed = right.withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, (F.col(a).eqNullSafe(F.col(b)) for a, b in names.items()), F.lit(True))
+    return left.join(renamed, same).drop(*names.values())
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str]) -> DataFrame:

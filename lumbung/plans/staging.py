@@ -51,12 +51,15 @@ class StagingOptions:
 
     ``review_device_columns``: more names to look for a review's device.
     ``hot_keys``: salt that many of the most frequent users and courses in the
-    bridge lookups; 0 leaves skew to adaptive execution.
+    bridge lookups; 0 leaves skew to adaptive execution.  ``salts``: see
+    ``salted_lookup``.  ``id_digits``: see ``global_id``.
     """
 
     as_of: dt.date | None = None
     review_device_columns: tuple[str, ...] = ()
     hot_keys: int = 0
+    salts: int | None = None
+    id_digits: int = 32
 
 
 EVENT_TABLES = {
@@ -116,7 +119,7 @@ def subject_dictionary(sources: Sources) -> DataFrame:
     )
 
 
-def user_bridge(sources: Sources) -> DataFrame:
+def user_bridge(sources: Sources, options: StagingOptions = StagingOptions()) -> DataFrame:
     """Who is who.  Equal addresses on several platforms are one person.
 
     The global id follows from the address alone, so no row has to be compared
@@ -130,7 +133,7 @@ def user_bridge(sources: Sources) -> DataFrame:
         users.where(F.col("email_hash").isNotNull())
         .withColumns(
             {
-                "id_pengguna_global": global_id("USR-", F.col("email_hash")),
+                "id_pengguna_global": global_id("USR-", F.col("email_hash"), options.id_digits),
                 "confidence_score": F.lit(1).cast("decimal(3,2)"),
             }
         )
@@ -138,7 +141,7 @@ def user_bridge(sources: Sources) -> DataFrame:
     )
 
 
-def course_bridge(sources: Sources) -> DataFrame:
+def course_bridge(sources: Sources, options: StagingOptions = StagingOptions()) -> DataFrame:
     """T4: courses of equal subject, school level and difficulty are one course."""
     grade = F.concat_ws(" ", "jenjang_standar", "tingkat_kesulitan_standar")
     return (
@@ -146,7 +149,7 @@ def course_bridge(sources: Sources) -> DataFrame:
         .withColumn(
             "nama_kelas_standar", F.concat_ws(" - ", F.col("mata_pelajaran_standar"), grade)
         )
-        .withColumn("id_kelas_global", global_id("KLS-", F.col("nama_kelas_standar")))
+        .withColumn("id_kelas_global", global_id("KLS-", F.col("nama_kelas_standar"), options.id_digits))
         .select(*_names("peta_kelas_lintas_platform"))
     )
 
@@ -168,6 +171,7 @@ def resolve_events(
     courses: DataFrame | None,
     how: str = "inner",
     hot_keys: int = 0,
+    salts: int | None = None,
 ) -> DataFrame:
     """Replace platform ids by global ids, in the optimizer's choice of join.
 
@@ -180,7 +184,7 @@ def resolve_events(
         on = {id_: id_, "nama_platform": "nama_platform"}
         if hot_keys:
             return salted_lookup(
-                rows, bridge, on, [global_id_], how, hot_keys=hot_keys, count_in=events
+                rows, bridge, on, [global_id_], how, hot_keys=hot_keys, salts=salts, count_in=events
             )
         return lookup(rows, bridge, on, [global_id_], how)
 
@@ -209,6 +213,7 @@ def build_events(
         users,
         courses if table.has_course else None,
         hot_keys=options.hot_keys,
+        salts=options.salts,
     )
     accepted = quality_gate(rows, event_rules(table, options))
     return dedup_by_key(accepted.select(*_names(name)), [table.id])
@@ -229,18 +234,30 @@ def rejected_events(
         courses if table.has_course else None,
         how="left",
         hot_keys=options.hot_keys,
+        salts=options.salts,
     )
     return reject_report(rows, event_rules(table, options), ["id_platform"])
 
 
-def build_references(spark: SparkSession, sources: Sources) -> dict[str, DataFrame]:
+def build_references(
+    spark: SparkSession, sources: Sources, options: StagingOptions = StagingOptions()
+) -> dict[str, DataFrame]:
     """T1-T4, lazily."""
     return {
         "kamus_platform": platform_dictionary(spark),
         "kamus_mata_pelajaran": subject_dictionary(sources),
-        "peta_pengguna_lintas_platform": user_bridge(sources),
-        "peta_kelas_lintas_platform": course_bridge(sources),
+        "peta_pengguna_lintas_platform": user_bridge(sources, options),
+        "peta_kelas_lintas_platform": course_bridge(sources, options),
+    }
+
+
+def bridge_keys(references: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, str, str]]:
+    """What each bridge's global id stands for, for ``collision_report``."""
+    natural = {
+        "peta_pengguna_lintas_platform": ("id_pengguna_global", "email_hash"),
+        "peta_kelas_lintas_platform": ("id_kelas_global", "nama_kelas_standar"),
     }
+    return {name: (references[name], *columns) for name, columns in natural.items()}
 
 
 def build_all_events(
@@ -263,7 +280,7 @@ def build_staging(
     spark: SparkSession, sources: Sources, options: StagingOptions = StagingOptions()
 ) -> dict[str, DataFrame]:
     """All staging tables, lazily."""
-    references = build_references(spark, sources)
+    references = build_references(spark, sources, options)
     return {**references, **build_all_events(sources, references, options)}
 
 

@@ -123,10 +123,10 @@ def registration_range(sources: Sources) -> DataFrame:
 
 
 def _percent_scores(sources: Sources) -> DataFrame:
-    """Scores of all platforms on the scale to 100, two digits after the point."""
-    exams = observations(sources, EXAMS, raw="decimal(6,1)")
-    scale = _per_code({code: 100 / full for code, full in FULL_MARKS.items()}, 1.0)
-    return exams.withColumn("score", (F.col("raw") * scale.cast("decimal(3,2)")).try_cast("decimal(6,2)"))
+    """Scores of all platforms on the scale to 100, with all their digits."""
+    exams = observations(sources, EXAMS, raw="double")
+    scale = _per_code({code: full / 100 for code, full in FULL_MARKS.items()}, 1.0)
+    return exams.withColumn("score", F.col("raw") / scale)
 
 
 def score_report(sources: Sources) -> DataFrame:
@@ -134,11 +134,11 @@ def score_report(sources: Sources) -> DataFrame:
 
 
 def score_histogram(sources: Sources, bins: int = 30) -> DataFrame:
-    return histogram(observations(sources, EXAMS, raw="decimal(6,1)"), "raw", bins, [PLATFORM])
+    return histogram(observations(sources, EXAMS, raw="double"), "raw", bins, [PLATFORM])
 
 
 def exam_months(sources: Sources) -> DataFrame:
-    return month_profile(observations(sources, EXAMS, raw="decimal(6,1)"), "day", [PLATFORM])
+    return month_profile(observations(sources, EXAMS, raw="double"), "day", [PLATFORM])
 
 
 def rating_counts(sources: Sources) -> DataFrame:
@@ -186,7 +186,7 @@ def payments_per_user_rule(sources: Sources) -> DataFrame:
 def science_scores(sources: Sources) -> DataFrame:
     """Scores of the document source by science subject."""
     exams = sources["kj"]["skor_evaluasi"].withColumn(
-        "score", F.col("score_percent").try_cast("decimal(6,1)")
+        "score", F.col("score_percent").try_cast("double")
     )
     key = COURSE_ID["kj"]
     return subject_scores(

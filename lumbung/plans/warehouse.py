@@ -17,6 +17,8 @@ from lumbung.functions import (
     whole_number,
 )
 from lumbung.functions.identity import KeyKind
+from lumbung.operators.checks import orphan_keys
+from lumbung.operators.conform import union_all
 from lumbung.operators.dedup import dedup_by_key, pick_per_entity
 from lumbung.operators.dimensions import date_dimension, value_dimension
 from lumbung.operators.facts import Flag, KeyLookup, build_fact
@@ -40,11 +42,15 @@ ENROLMENT_DATE = ("olah_pendaftaran_program", "tanggal_daftar")
 @dataclass(frozen=True)
 class WarehouseOptions:
     """``key_kind``: see ``surrogate_key``.  ``enrolment_dates`` adds the enrolment
-    dates to the date dimension.  ``hot_keys``: see ``build_fact``."""
+    dates to the date dimension; they pass no date gate, so its size is then left
+    to the optimizer.  ``hot_keys``, ``salts``: see ``build_fact``.  ``look_up_keys``:
+    fetch every fact key from its dimension, also those that can be computed."""
 
-    key_kind: KeyKind = "crc32"
+    key_kind: KeyKind = "md5_60"
     enrolment_dates: bool = False
     hot_keys: int = 0
+    salts: int | None = None
+    look_up_keys: bool = False
 
 
 def dim_waktu(staging: Tables, options: WarehouseOptions) -> DataFrame:
@@ -221,17 +227,44 @@ def build_dimensions(
     return {name: built[name] for name in DIMENSIONS}
 
 
+# dimensions whose rows are values of event tables, and can only grow
+EVENT_DIMENSIONS = ("dim_waktu", "dim_paket", "dim_metode_bayar", "dim_perangkat")
+NATURAL_KEYS = {
+    "dim_waktu": ("waktu_key", "tanggal"),
+    "dim_platform": ("platform_key", "id_platform"),
+    "dim_pengguna": ("pengguna_key", "id_pengguna_sumber"),
+    "dim_mata_pelajaran": ("mata_pelajaran_key", "nama_mata_pelajaran"),
+    "dim_jenjang": ("jenjang_key", "nama_jenjang"),
+    "dim_kelas": ("kelas_key", "id_kelas_sumber"),
+    "dim_paket": ("paket_key", "jenis_paket"),
+    "dim_metode_bayar": ("metode_bayar_key", "nama_metode"),
+    "dim_perangkat": ("perangkat_key", "kategori_perangkat"),
+}
+
+
+def dimension_keys(dimensions: Tables) -> dict[str, tuple[DataFrame, str, str]]:
+    """What each surrogate key stands for, for ``collision_report``."""
+    return {name: (df, *NATURAL_KEYS[name]) for name, df in dimensions.items() if name in NATURAL_KEYS}
+
+
 def _day(column: str) -> KeyLookup:
-    # one row per calendar day at most
-    return KeyLookup("dim_waktu", "waktu_key", column, "tanggal", size_bounded=True)
+    # the gate ends the days at ``as_of``, and the dimension is made of these very days
+    return KeyLookup("dim_waktu", "waktu_key", column, "tanggal", size_bounded=True, always_there=True)
 
 
+# an enrolment may lie on a day without any event, and its date passes no gate
+_ENROLMENT_DAY = KeyLookup("dim_waktu", "waktu_key", "tanggal_daftar", "tanggal")
 # one row per configured platform
 _PLATFORM = KeyLookup(
-    "dim_platform", "platform_key", "id_platform", "id_platform", size_bounded=True
+    "dim_platform", "platform_key", "id_platform", "id_platform", size_bounded=True, always_there=True
+)
+# the bridges that resolved an event's user and course are what these dimensions are made of
+_USER = KeyLookup(
+    "dim_pengguna", "pengguna_key", "id_pengguna_global", "id_pengguna_sumber", always_there=True
+)
+_COURSE = KeyLookup(
+    "dim_kelas", "kelas_key", "id_kelas_global", "id_kelas_sumber", always_there=True
 )
-_USER = KeyLookup("dim_pengguna", "pengguna_key", "id_pengguna_global", "id_pengguna_sumber")
-_COURSE = KeyLookup("dim_kelas", "kelas_key", "id_kelas_global", "id_kelas_sumber")
 # devices, packages and methods are the values of fixed dictionaries
 _DEVICE = KeyLookup(
     "dim_perangkat", "perangkat_key", "perangkat_standar", "kategori_perangkat", size_bounded=True
@@ -265,7 +298,7 @@ def fact_tables() -> dict[str, FactTable]:
     return {
         "fakta_pendaftaran_program": FactTable(
             "olah_pendaftaran_program",
-            (_day("tanggal_daftar"), _PLATFORM, _USER, _COURSE),
+            (_ENROLMENT_DAY, _PLATFORM, _USER, _COURSE),
             (
                 _as_is("id_pendaftaran", "id_pendaftaran_sumber"),
                 _as_is(state, "status_pendaftaran"),
@@ -315,6 +348,23 @@ def fact_tables() -> dict[str, FactTable]:
     }
 
 
+def fact_orphans(facts: Tables, dimensions: Tables) -> DataFrame:
+    """Computed fact keys that are in no row of their dimension, with their number of rows.
+
+    An event of a user or course that has left the sources since is the one way
+    to get one, because the bridges are replaced in every run.
+    """
+    plans = fact_tables()
+    return union_all(
+        orphan_keys(df, item.key, dimensions[item.dimension], item.key).select(
+            F.lit(name).alias("table_name"), F.lit(item.key).alias("key_name"), F.col(item.key).alias("key"), "n_rows"
+        )
+        for name, df in facts.items()
+        for item in plans[name].lookups
+        if item.always_there
+    )
+
+
 def build_facts(
     staging: Tables, dimensions: Tables, options: WarehouseOptions = WarehouseOptions()
 ) -> dict[str, DataFrame]:
@@ -325,6 +375,8 @@ def build_facts(
             fact.lookups,
             fact.columns,
             hot_keys=options.hot_keys,
+            salts=options.salts,
+            computed_keys=None if options.look_up_keys else options.key_kind,
         )
         for name, fact in fact_tables().items()
     }

@@ -15,6 +15,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have the file system remove the folder when the application ends."""
+    file_system, hadoop_path = _open(spark, path)
+    file_system.deleteOnExit(hadoop_path)
+
+
 def _open(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsparkSession.sessionState().newHadoopConf()

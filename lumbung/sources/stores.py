@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -12,22 +11,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lumbung.operators.load import audit_columns, new_rows
-from lumbung.sources.paths import child_names, path_exists
+from lumbung.sources.paths import child_names, delete_at_end, path_exists
 from lumbung.sources.readers import conform_schema
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster shares (``spark.checkpoint.dir``).
+    """A new folder below one that the cluster shares; it goes when the application ends.
 
-    Only a local session may do without that setting; there all tasks run on
-    one machine and a temporary folder is as good.
+    That is ``spark.checkpoint.dir``, and where it is unset a folder below the
+    warehouse, which all executors reach as well.  A result that is read lazily
+    still needs its folder, so it is not removed before the end.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="lumbung-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lumbung"
+    folder = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    delete_at_end(spark, folder)
+    return folder
 
 
 @dataclass(frozen=True)
@@ -121,21 +120,15 @@ class ParquetStore:
         if existing is not None:
             existing = existing.where(F.col("etl_batch_id") != batch_id)
         fresh = new_rows(incoming, existing, keys, null_safe=null_safe)
-        (
-            audit_columns(fresh, batch_id)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("etl_batch_id")
-            .parquet(self.path(table))
+        # the batch's own folder is replaced even where it gets no row
+        audit_columns(fresh, batch_id).drop("etl_batch_id").write.mode("overwrite").parquet(
+            self.batch_path(table, batch_id)
         )
-        n_new = self._batch_rows(table, batch_id)
+        n_new = self.spark.read.parquet(self.batch_path(table, batch_id)).count()
         return LoadResult(table, df.count() if count_input else None, n_new)
 
-    def _batch_rows(self, table: str, batch_id: str) -> int:
-        # a count over one partition is answered by the file footers
-        if not path_exists(self.spark, f"{self.path(table)}/etl_batch_id={batch_id}"):
-            return 0
-        return self.read(table).where(F.col("etl_batch_id") == batch_id).count()
+    def batch_path(self, table: str, batch_id: str) -> str:
+        return f"{self.path(table)}/etl_batch_id={batch_id}"
 
 
 @dataclass(frozen=True)
@@ -175,18 +168,27 @@ class JdbcStore:
         return options
 
     def batch_ids(self, table: str) -> list[str]:
-        """The batches the table consists of; one row per load."""
+        """The batches the table consists of; the database makes them distinct."""
         if not self.exists(table):
             return []
-        rows = self.read(table).select("etl_batch_id").distinct().collect()
-        return sorted(row.etl_batch_id for row in rows)
+        rows = self._query(f"SELECT DISTINCT etl_batch_id FROM {table}").collect()
+        return sorted(row[0] for row in rows)
 
     def exists(self, table: str) -> bool:
         """S7, by the standard catalogue; an error of the connection is raised."""
-        options = {**self.properties, "url": self.url}
-        found = f"SELECT table_name FROM information_schema.tables WHERE table_name = '{table}'"
-        reader = self.spark.read.format("jdbc").options(**options)
-        return not reader.option("query", found).load().isEmpty()
+        return not self._query(self.exists_sql(table)).isEmpty()
+
+    def exists_sql(self, table: str) -> str:
+        """A table of the connection's own schema; other schemas may have the same name."""
+        schema = "DATABASE()" if self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else "CURRENT_SCHEMA"
+        return (
+            f"SELECT table_name FROM information_schema.tables WHERE table_name = '{table}'"
+            f" AND table_schema = {schema}"
+        )
+
+    def _query(self, sql: str) -> DataFrame:
+        options = {**self.properties, "url": self.url, "query": sql}
+        return self.spark.read.format("jdbc").options(**options).load()
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.read_options(table)).load()

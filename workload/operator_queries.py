@@ -13,7 +13,6 @@ from lumbung.functions import (
     equality_flag,
     first_existing_column,
     global_id,
-    key_collisions,
     literal_tags,
     ordinal_rank,
     pii_hash,
@@ -251,14 +250,14 @@ def std_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "std_broadcast",
     "SELECT c_custkey, coalesce(n_name, 'elsewhere') AS nation FROM customer"
-    " LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) ON c_nationkey = n_nationkey",
+    " LEFT JOIN nation ON CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE c_nationkey END = n_nationkey",
 )
 def std_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").where("n_regionkey <> 0")
+    own = F.expr("CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE c_nationkey END")  # no such nation
     return standardize_with_table(
-        table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-        "c_nationkey",
-        nations,
+        table(spark, sf_dir, "customer").select("c_custkey", own.alias("nationkey")),
+        "nationkey",
+        table(spark, sf_dir, "nation"),
         key="n_nationkey",
         label="n_name",
         into="nation",
@@ -424,7 +423,7 @@ def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "user_bridge",
-    "SELECT 'USR-' || upper(substr(md5(h), 1, 8)) AS global_id, source, id, h AS email_hash"
+    "SELECT 'USR-' || upper(md5(h)) AS global_id, source, id, h AS email_hash"
     f" FROM (SELECT *, md5(lower(email)) AS h FROM ({ACCOUNTS})) WHERE h IS NOT NULL",
 )
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,7 +435,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "shared_identities",
-    "SELECT 'USR-' || upper(substr(md5(md5(lower(email))), 1, 8)) AS global_id,"
+    "SELECT 'USR-' || upper(md5(md5(lower(email)))) AS global_id,"
     f" count(*) AS n_accounts FROM ({ACCOUNTS}) WHERE email IS NOT NULL"
     " GROUP BY 1 HAVING count(*) > 1",
 )
@@ -458,7 +457,7 @@ COURSE = (
 
 @query(
     "course_bridge",
-    f"SELECT 'KLS-' || upper(substr(md5(name), 1, 8)) AS global_id, p_partkey, name FROM ({COURSE})",
+    f"SELECT 'KLS-' || upper(md5(name)) AS global_id, p_partkey, name FROM ({COURSE})",
 )
 def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     small = F.when(F.col("p_size") < 25, "small")
@@ -483,29 +482,15 @@ def md5_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("surrogate_crc32", f"SELECT c_custkey, {crc32('c_name')} AS key FROM customer")
 def crc_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
-        "c_custkey", surrogate_key(F.col("c_name")).alias("key")
+        "c_custkey", surrogate_key(F.col("c_name"), "crc32").alias("key")
     )
 
 
-@query(
-    "key_collisions",
-    "SELECT key, count(*) AS n_natural FROM (SELECT DISTINCT ('0x' || substr(md5("
-    "o_custkey::VARCHAR), 1, 15))::BIGINT % 1000 AS key, o_custkey FROM orders)"
-    " GROUP BY key HAVING count(*) > 1",
-)
-def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I5 on a key that is cut short on purpose, so that there are collisions."""
-    keyed = table(spark, sf_dir, "orders").select(
-        (surrogate_key(F.col("o_custkey"), "md5_60") % 1000).alias("key"), "o_custkey"
-    )
-    return key_collisions(keyed, "key", ["o_custkey"])
-
-
 # ---- J1-J14: lookups
 
 
 def _bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").where("s_nationkey <> 3").select(
+    return table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("N"), F.col("s_nationkey")).alias("platform"),
         F.col("s_suppkey").cast("string").alias("platform_id"),
         global_id("USR-", F.col("s_name")).alias("global_id"),
@@ -526,9 +511,11 @@ def _lines_of_suppliers(spark: SparkSession, sf_dir: str, supplier: str) -> Data
 _ENRICHED = (
     "SELECT {id} AS global_id, count(*) AS n_rows, sum(l_quantity)::BIGINT AS quantity FROM"
     " (SELECT *, {who} AS who FROM lineitem) {how} JOIN (SELECT s_suppkey, 'USR-' ||"
-    " upper(substr(md5(s_name), 1, 8)) AS gid FROM supplier WHERE s_nationkey <> 3)"
+    " upper(md5(s_name)) AS gid FROM supplier)"
     " ON who = s_suppkey GROUP BY 1"
 )
+# a supplier that does not exist, for every eleventh part
+MISSING = "CASE WHEN l_partkey % 11 = 0 THEN -1 ELSE l_suppkey END"
 HOT = "CASE WHEN l_returnflag = 'R' THEN 4 WHEN l_returnflag = 'A' THEN NULL ELSE l_suppkey END"
 
 
@@ -538,16 +525,16 @@ def _per_global_id(rows: DataFrame) -> DataFrame:
     )
 
 
-@query("bridge_enrich", _ENRICHED.format(id="gid", who="l_suppkey", how=""))
+@query("bridge_enrich", _ENRICHED.format(id="gid", who=MISSING, how=""))
 def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lines_of_suppliers(spark, sf_dir, "l_suppkey")
+    rows = _lines_of_suppliers(spark, sf_dir, MISSING)
     on = {"platform": "platform", "platform_id": "platform_id"}
     return _per_global_id(lookup(rows, _bridge(spark, sf_dir), on, ["global_id"], "inner"))
 
 
-@query("bridge_enrich_left", _ENRICHED.format(id="gid", who="l_suppkey", how="LEFT"))
+@query("bridge_enrich_left", _ENRICHED.format(id="gid", who=MISSING, how="LEFT"))
 def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lines_of_suppliers(spark, sf_dir, "l_suppkey")
+    rows = _lines_of_suppliers(spark, sf_dir, MISSING)
     on = {"platform": "platform", "platform_id": "platform_id"}
     return _per_global_id(lookup(rows, _bridge(spark, sf_dir), on, ["global_id"]))
 
@@ -623,16 +610,16 @@ def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     "snowflake_dim",
     "SELECT ('0x' || substr(md5(c_custkey::VARCHAR), 1, 15))::BIGINT AS customer_key, c_name,"
     " n_name AS nation, r_name AS region FROM customer"
-    " LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey <> 9"
+    " LEFT JOIN nation ON CASE WHEN c_custkey % 9 = 0 THEN -1 ELSE c_nationkey END = n_nationkey"
     " LEFT JOIN region ON n_regionkey = r_regionkey",
 )
 def snowflake_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension that refers to a dimension that refers to another one."""
-    nations = table(spark, sf_dir, "nation").where("n_nationkey <> 9")
+    own = F.expr("CASE WHEN c_custkey % 9 = 0 THEN -1 ELSE c_nationkey END")  # no such nation
     rows = lookup(
-        table(spark, sf_dir, "customer"),
-        nations,
-        {"c_nationkey": "n_nationkey"},
+        table(spark, sf_dir, "customer").withColumn("own_nation", own),
+        table(spark, sf_dir, "nation"),
+        {"own_nation": "n_nationkey"},
         {"n_name": "nation", "n_regionkey": "region_id"},
     )
     rows = lookup(

@@ -108,6 +108,29 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_stats(_events(spark, sf_dir), "score", ["source"])
 
 
+PRICES = (
+    "(SELECT 'orders' AS source, o_totalprice AS price FROM orders"
+    " UNION ALL SELECT 'lines', l_extendedprice FROM lineitem"
+    " UNION ALL SELECT 'thousandths', o_custkey / 1000.0::DOUBLE FROM orders)"
+)
+
+
+@query(
+    "score_stats_prices",
+    "SELECT source, count(*) AS n_rows, round(sum(price)::DOUBLE / count(*), 4) AS mean,"
+    f" round(median(price::DOUBLE), 4) AS median FROM {PRICES} GROUP BY source",
+)
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 on values of any size and number of digits."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    parts = [
+        orders.select(F.lit("orders").alias("source"), F.col("o_totalprice").cast("double").alias("price")),
+        lines.select(F.lit("lines").alias("source"), F.col("l_extendedprice").cast("double").alias("price")),
+        orders.select(F.lit("thousandths").alias("source"), (F.col("o_custkey") / F.lit(1000.0)).alias("price")),
+    ]
+    return score_stats(union_all(parts), "price", ["source"])
+
+
 @query(
     "histogram",
     "SELECT source, CASE WHEN high = low THEN 0 ELSE least(floor((score::DOUBLE - low)"

@@ -31,6 +31,11 @@ def device(column: str) -> str:
     return label(column, v.DEVICES, "'tidak diketahui'", normalize=True)
 
 
+def key(text: str) -> str:
+    """The surrogate key: 60 bits of the md5 of a text."""
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
 def crc32(text: str) -> str:
     """The checksum of an ASCII text, bit by bit (it is no function of DuckDB)."""
     step = (
@@ -264,7 +269,7 @@ CTES: dict[str, str] = {
         _user("pn", "siswa_pintarnusa", "id_siswa", "email", "nama_siswa", "tingkat_pendidikan",
               "kelas_tingkat", "provinsi", "tanggal_gabung"),
     ),
-    "global_users": "SELECT DISTINCT email_hash, 'USR-' || upper(substr(md5(email_hash), 1, 8))"
+    "global_users": "SELECT DISTINCT email_hash, 'USR-' || upper(md5(email_hash))"
     " AS id_pengguna_global FROM all_users WHERE email_hash IS NOT NULL",
     "peta_pengguna_lintas_platform": "SELECT g.id_pengguna_global, u.*,"
     " 1::DECIMAL(3,2) AS confidence_score"
@@ -282,7 +287,7 @@ CTES: dict[str, str] = {
     "named_courses": "SELECT *, concat_ws(' - ', mata_pelajaran_standar,"
     " concat_ws(' ', jenjang_standar, tingkat_kesulitan_standar)) AS nama_kelas_standar"
     " FROM all_courses",
-    "peta_kelas_lintas_platform": "SELECT 'KLS-' || upper(substr(md5(nama_kelas_standar), 1, 8))"
+    "peta_kelas_lintas_platform": "SELECT 'KLS-' || upper(md5(nama_kelas_standar))"
     " AS id_kelas_global, nama_platform, id_kelas_platform, id_platform, nama_kelas_standar,"
     " mata_pelajaran_standar, jenjang_standar, tingkat_kesulitan_standar, pengajar"
     " FROM named_courses",
@@ -319,22 +324,29 @@ CTES: dict[str, str] = {
     " UNION ALL SELECT tanggal_latihan FROM olah_hasil_latihan"
     " UNION ALL SELECT tanggal_transaksi FROM olah_transaksi"
     " UNION ALL SELECT tanggal_ulasan FROM olah_ulasan) WHERE tanggal IS NOT NULL",
-    "dim_waktu": f"SELECT {crc32('tanggal::VARCHAR')} AS waktu_key, tanggal,"
+    "dim_waktu": f"SELECT {key('tanggal::VARCHAR')} AS waktu_key, tanggal,"
     " month(tanggal)::INTEGER AS bulan,"
     f" {label('month(tanggal)::VARCHAR', v.MONTH_NAMES)} AS nama_bulan,"
     " 'Q' || quarter(tanggal) AS kuartal, year(tanggal)::INTEGER AS tahun FROM days",
-    "dim_platform": f"SELECT {crc32('id_platform')} AS platform_key, id_platform, nama_platform,"
+    # with the days of enrolments
+    "days_all": "SELECT tanggal FROM days UNION SELECT tanggal_daftar FROM olah_pendaftaran_program"
+    " WHERE tanggal_daftar IS NOT NULL",
+    "dim_waktu_all": f"SELECT {key('tanggal::VARCHAR')} AS waktu_key, tanggal,"
+    " month(tanggal)::INTEGER AS bulan,"
+    f" {label('month(tanggal)::VARCHAR', v.MONTH_NAMES)} AS nama_bulan,"
+    " 'Q' || quarter(tanggal) AS kuartal, year(tanggal)::INTEGER AS tahun FROM days_all",
+    "dim_platform": f"SELECT {key('id_platform')} AS platform_key, id_platform, nama_platform,"
     " jenis_platform FROM kamus_platform",
     "first_users": "SELECT * FROM peta_pengguna_lintas_platform"
     " QUALIFY row_number() OVER (PARTITION BY id_pengguna_global"
     " ORDER BY nama_platform, id_pengguna_platform) = 1",
-    "dim_pengguna": f"SELECT {crc32('id_pengguna_global')} AS pengguna_key,"
+    "dim_pengguna": f"SELECT {key('id_pengguna_global')} AS pengguna_key,"
     " id_pengguna_global AS id_pengguna_sumber, platform_key, nama_standar AS nama_pengguna,"
     " email_asli AS email, provinsi_standar AS provinsi, tanggal_daftar"
     " FROM first_users LEFT JOIN dim_platform USING (nama_platform)",
     "subjects": "SELECT DISTINCT nama_mapel_standar AS nama_mata_pelajaran"
     " FROM kamus_mata_pelajaran",
-    "dim_mata_pelajaran": f"SELECT {crc32('nama_mata_pelajaran')} AS mata_pelajaran_key,"
+    "dim_mata_pelajaran": f"SELECT {key('nama_mata_pelajaran')} AS mata_pelajaran_key,"
     " nama_mata_pelajaran, CASE"
     " WHEN nama_mata_pelajaran IN ('Matematika', 'Fisika', 'Kimia', 'Biologi') THEN 'Sains'"
     " WHEN nama_mata_pelajaran IN ('Ekonomi', 'Sejarah', 'Geografi', 'Sosiologi') THEN 'Soshum'"
@@ -343,13 +355,13 @@ CTES: dict[str, str] = {
     " SELECT jenjang_standar FROM peta_pengguna_lintas_platform"
     " UNION ALL SELECT jenjang_standar FROM peta_kelas_lintas_platform)"
     " WHERE jenjang_standar IS NOT NULL",
-    "dim_jenjang": f"SELECT {crc32('nama_jenjang')} AS jenjang_key, nama_jenjang,"
+    "dim_jenjang": f"SELECT {key('nama_jenjang')} AS jenjang_key, nama_jenjang,"
     " CASE nama_jenjang WHEN 'SD' THEN 1 WHEN 'SMP' THEN 2 WHEN 'SMA' THEN 3 ELSE 4 END AS tingkat"
     " FROM levels",
     "first_courses": "SELECT * FROM peta_kelas_lintas_platform"
     " QUALIFY row_number() OVER (PARTITION BY id_kelas_global"
     " ORDER BY id_platform, id_kelas_platform) = 1",
-    "dim_kelas": f"SELECT {crc32('id_kelas_global')} AS kelas_key,"
+    "dim_kelas": f"SELECT {key('id_kelas_global')} AS kelas_key,"
     " id_kelas_global AS id_kelas_sumber, p.platform_key, c.nama_kelas_standar AS nama_kelas,"
     " m.mata_pelajaran_key, j.jenjang_key, c.tingkat_kesulitan_standar FROM first_courses c"
     " LEFT JOIN dim_platform p ON c.id_platform = p.id_platform"
@@ -359,14 +371,14 @@ CTES: dict[str, str] = {
     " SELECT perangkat_standar FROM olah_aktivitas_belajar"
     " UNION ALL SELECT perangkat_standar FROM olah_ulasan)"
     " WHERE perangkat_standar IS NOT NULL AND lower(perangkat_standar) <> 'tidak diketahui'",
-    "dim_perangkat": f"SELECT {crc32('kategori_perangkat')} AS perangkat_key, kategori_perangkat"
+    "dim_perangkat": f"SELECT {key('kategori_perangkat')} AS perangkat_key, kategori_perangkat"
     " FROM devices",
     "packages": "SELECT DISTINCT nama_paket_standar AS jenis_paket FROM olah_transaksi"
     " WHERE nama_paket_standar IN ('gratis', 'reguler', 'premium')",
-    "dim_paket": f"SELECT {crc32('jenis_paket')} AS paket_key, jenis_paket FROM packages",
+    "dim_paket": f"SELECT {key('jenis_paket')} AS paket_key, jenis_paket FROM packages",
     "methods": "SELECT DISTINCT metode_bayar_standar AS nama_metode FROM olah_transaksi"
     " WHERE metode_bayar_standar IS NOT NULL",
-    "dim_metode_bayar": f"SELECT {crc32('nama_metode')} AS metode_bayar_key, nama_metode,"
+    "dim_metode_bayar": f"SELECT {key('nama_metode')} AS metode_bayar_key, nama_metode,"
     " " + label("nama_metode", v.PAYMENT_METHOD_CATEGORIES, "'lainnya'") + " AS kategori_metode"
     " FROM methods",
 }
@@ -432,6 +444,9 @@ CTES.update(
 )
 
 
+CTES["fakta_pendaftaran_all"] = CTES["fakta_pendaftaran_program"].replace("dim_waktu", "dim_waktu_all")
+
+
 def statement(select: str) -> str:
     """``select`` preceded by the named subqueries that it needs, in order."""
     needed: set[str] = set()

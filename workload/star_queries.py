@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lumbung.operators.conform import union_all
 from lumbung.operators.dimensions import date_dimension, value_dimension
@@ -16,10 +18,19 @@ from lumbung.operators.lookup import bounded, lookup
 from lumbung.plans import warehouse as w
 from lumbung.plans.fixed_values import MONTH_NAMES, UNKNOWN_DEVICE
 from lumbung.plans.pipeline import PipelineConfig, run_pipeline
-from lumbung.plans.schemas import DIMENSIONS, FACTS, SOURCES, STAGING
+from lumbung.functions.identity import collision_report
+from lumbung.plans.schemas import (
+    DIMENSIONS,
+    FACT_DIMENSION_KEYS,
+    FACT_EVENT_IDS,
+    FACTS,
+    SOURCES,
+    STAGING,
+)
 from lumbung.plans.staging import (
     EVENT_TABLES,
     StagingOptions,
+    bridge_keys,
     build_all_events,
     build_references,
     course_bridge,
@@ -34,6 +45,7 @@ from workload.star_oracles import AS_OF, statement, whole
 
 STAGING_OPTIONS = StagingOptions(as_of=dt.date.fromisoformat(AS_OF))
 OPTIONS = w.WarehouseOptions()
+BATCHES = ("BATCH-20240120-000000", "BATCH-20240121-000000")
 
 
 def stage(
@@ -113,7 +125,10 @@ _REASONS = " UNION ALL ".join(
 )
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = derived_sources(spark, sf_dir)
-    users, courses = user_bridge(sources), course_bridge(sources)
+    # written first, as five tables use them
+    bridges = {"users": user_bridge(sources), "courses": course_bridge(sources)}
+    written = write_all(ParquetStore(spark, shared_folder(spark, "rejected")), bridges)
+    users, courses = written["users"], written["courses"]
     return union_all(
         rejected_events(name, sources, users, courses, STAGING_OPTIONS).select(
             F.lit(table.id).alias("event_id"), "id_platform", "reject_reason", "n_rows"
@@ -202,19 +217,67 @@ def platform_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _register_fact(name: str) -> None:
     @query(name, whole(name))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fact = w.fact_tables()[name]
-        store = ParquetStore(spark, shared_folder(spark, name))
-        events = list(dict.fromkeys([*w.EVENT_DATES, fact.events]))
-        staging = stage(spark, sf_dir, events, store)
-        wanted = {item.dimension for item in fact.lookups}
-        dimensions = write_all(store, {name: DIMENSION_BUILDERS[name](staging) for name in wanted})
-        return build_fact(staging[fact.events], dimensions, fact.lookups, fact.columns)
+        return _fact(spark, sf_dir, name, OPTIONS)
+
+
+def _fact(spark: SparkSession, sf_dir: str, name: str, options: w.WarehouseOptions) -> DataFrame:
+    """One fact table; besides its own events only those are staged that a lookup needs."""
+    fact = w.fact_tables()[name]
+    looked_up = [item for item in fact.lookups if options.look_up_keys or not item.always_there]
+    wanted = {item.dimension for item in looked_up}
+    events = {fact.events} | (set(w.EVENT_DATES) if "dim_waktu" in wanted else set())
+    store = ParquetStore(spark, shared_folder(spark, name))
+    staging = stage(spark, sf_dir, events, store)
+    # a device that the table's own events do not have is not looked up
+    own = {table: staging[fact.events] for table in ("olah_aktivitas_belajar", "olah_ulasan") if table not in staging}
+    dimensions = write_all(store, {name: DIMENSION_BUILDERS[name]({**own, **staging}) for name in wanted})
+    computed = None if options.look_up_keys else options.key_kind
+    return build_fact(staging[fact.events], dimensions, fact.lookups, fact.columns, computed_keys=computed)
 
 
 for _name in FACTS:
     _register_fact(_name)
 
 
+@query("fakta_aktivitas_belajar_looked_up", whole("fakta_aktivitas_belajar"))
+def activities_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key fetched from its dimension."""
+    return _fact(spark, sf_dir, "fakta_aktivitas_belajar", w.WarehouseOptions(look_up_keys=True))
+
+
+@query("fakta_transaksi_looked_up", whole("fakta_transaksi"))
+def payments_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key fetched from its dimension."""
+    return _fact(spark, sf_dir, "fakta_transaksi", w.WarehouseOptions(look_up_keys=True))
+
+
+# ---- I5 over the bridges and dimensions
+
+_KEYS = {
+    "peta_pengguna_lintas_platform": ("id_pengguna_global", "email_hash"),
+    "peta_kelas_lintas_platform": ("id_kelas_global", "nama_kelas_standar"),
+    **w.NATURAL_KEYS,
+}
+
+
+@query(
+    "key_collisions",
+    statement(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(DISTINCT {natural}) AS n_natural,"
+            f" count(DISTINCT {key}) AS n_keys, (SELECT count(*) FROM (SELECT {key} FROM {name}"
+            f" GROUP BY {key} HAVING count(DISTINCT {natural}) > 1)) AS n_collisions FROM {name}"
+            for name, (key, natural) in _KEYS.items()
+        )
+    ),
+)
+def key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = ParquetStore(spark, shared_folder(spark, "keys"))
+    staging = stage(spark, sf_dir, EVENT_TABLES, store)
+    dimensions = write_all(store, {name: build(staging) for name, build in DIMENSION_BUILDERS.items()})
+    return collision_report({**bridge_keys(staging), **w.dimension_keys(dimensions)})
+
+
 # ---- R1-R8: two batches through the whole pipeline
 
 _LOADED = " UNION ALL ".join(
@@ -242,11 +305,91 @@ def pipeline_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load metrics of a second, identical run: nothing new in events and facts."""
     folder = shared_folder(spark, "pipeline")
     sources = _parquet_sources(spark, sf_dir, f"{folder}/given")
-    for batch in ("BATCH-20240120-000000", "BATCH-20240121-000000"):
-        summary = run_pipeline(spark, PipelineConfig(sources, folder, batch, STAGING_OPTIONS))
+    for batch in BATCHES:
+        config = PipelineConfig(sources, folder, batch, STAGING_OPTIONS, fact_scope="all")
+        summary = run_pipeline(spark, config)
     return summary.as_frame(spark)
 
 
+# ---- two different batches: the first has the events of half of the ids
+
+
+def _row_text(names: Iterable[str]) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({name} AS {{text}}), '~')" for name in names) + ")"
+
+
+def _names(table: str) -> list[str]:
+    # parsed here, because there is no session yet when the SQL is made
+    return re.findall(r"(?:^|, )(\w+) ", {**DIMENSIONS, **FACTS}[table])
+
+
+def _rows_sql(table: str, source: str, test: str = "") -> str:
+    shown = _row_text(_names(table)).format(text="VARCHAR")
+    return f"SELECT '{table}' AS table_name, {shown} AS row_text FROM {source} {test}"
+
+
+_WITH_ENROLMENT_DAYS = {"dim_waktu": "dim_waktu_all", "fakta_pendaftaran_program": "fakta_pendaftaran_all"}
+_ONE_LOAD = {name: _WITH_ENROLMENT_DAYS.get(name, name) for name in [*DIMENSIONS, *FACTS]}
+
+
+def _first_of_its_keys(table: str, source: str) -> str:
+    """Rows of the first batch, and later ones whose dimension keys it does not have."""
+    id_, keys = FACT_EVENT_IDS[table], _row_text(FACT_DIMENSION_KEYS[table]).format(text="VARCHAR")
+    early = f"md5(substr({id_}, 7)) < '8'"
+    seen = f"SELECT {keys} FROM {source} WHERE {early}"
+    return f"WHERE {early} OR {keys} NOT IN ({seen})"
+
+
+def _two_batches(spark: SparkSession, sf_dir: str, fact_key: str) -> DataFrame:
+    folder = shared_folder(spark, "batches")
+    whole_, half = _parquet_sources(spark, sf_dir, f"{folder}/given"), {}
+    store, events = ParquetStore(spark, f"{folder}/given/half"), _event_tables()
+    for code, tables in whole_.items():
+        half[code] = dict(tables)
+        for name in events[code]:
+            id_ = StructType.fromDDL(SOURCES[code][name]).fieldNames()[0]
+            path = store.path(f"{code}/{name}")
+            store.write(f"{code}/{name}", spark.read.parquet(tables[name].path).where(F.md5(id_) < "8"))
+            half[code][name] = TableSource(name, SOURCES[code][name], "parquet", path)
+    options = w.WarehouseOptions(enrolment_dates=True)
+    for batch, sources in zip(BATCHES, (half, whole_)):
+        run_pipeline(spark, PipelineConfig(sources, folder, batch, STAGING_OPTIONS, options, fact_key))
+    loaded = ParquetStore(spark, f"{folder}/warehouse")
+    return union_all(
+        loaded.read(name).select(
+            F.lit(name).alias("table_name"), F.expr(_row_text(_names(name)).format(text="STRING")).alias("row_text")
+        )
+        for name in _ONE_LOAD
+    )
+
+
+def _event_tables() -> dict[str, list[str]]:
+    tables: dict[str, list[str]] = {code: [] for code in SOURCES}
+    for table in EVENT_TABLES.values():
+        for code, spec in table.sources(STAGING_OPTIONS).items():
+            tables[code].append(spec.table)
+    return tables
+
+
+@query("pipeline_two_batches", statement(" UNION ALL ".join(_rows_sql(n, s) for n, s in _ONE_LOAD.items())))
+def pipeline_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of every dimension and fact after two loads, which is what one load of all gives."""
+    return _two_batches(spark, sf_dir, "event")
+
+
+@query(
+    "pipeline_dimension_keys",
+    statement(
+        " UNION ALL ".join(
+            _rows_sql(n, s, _first_of_its_keys(n, s) if n in FACTS else "") for n, s in _ONE_LOAD.items()
+        )
+    ),
+)
+def pipeline_dimension_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where a fact row counts as loaded if its dimension keys are."""
+    return _two_batches(spark, sf_dir, "dimensions")
+
+
 # ---- the flagship: activity facts by month and platform
 
 
