@@ -287,8 +287,9 @@ def materialise(
     index = spark.read.parquet(f"{folder}/index")
     total = index.count()
     counts = index.groupBy("part").agg(F.count("*").alias("n"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each input split
-    begins = counts.withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # a row for each task of the first pass, of which the scheduler holds more than these two numbers
+    begins = F.broadcast(counts.withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n"))
 
     def placed(sequences: DataFrame) -> DataFrame:
         return (
