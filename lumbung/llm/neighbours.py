@@ -301,7 +301,7 @@ def nearest(vectors: DataFrame, is_query: Column, plan: SearchPlan = SearchPlan(
     merged = (
         home.unionByName(away).withColumn("n", F.row_number().over(order)).where(F.col("n") <= plan.k + 1)
     )
-    of_query = queries.join(asks.select("ask", "embedding"), "embedding").select("query_id", "ask")
+    of_query = queries.join(asks.select("ask", "embedding"), "embedding").select("query_id", "ask").distinct()
     ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         of_query.join(merged, "ask")

@@ -1,0 +1,88 @@
+import random
+import re
+
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lumbung.llm.licences import PHRASES, TEMPLATES, Scanner, SuffixAutomaton, rows_of, scanned
+
+
+def words_by_hand(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def base_by_hand(text):
+    words, starts, labels = words_by_hand(text), [], set()
+    for label, phrase in PHRASES:
+        wanted = phrase.split()
+        for k in range(len(words) - len(wanted) + 1):
+            if words[k : k + len(wanted)] == wanted:
+                starts.append(k)
+                labels.add(label)
+    return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def base_of(row):
+    return row["n_words"], row["n_base"], row["first_word"], row["last_word"], row["base_labels"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), min_size=1, max_size=9), min_size=1, max_size=4), st.lists(st.integers(0, 4), max_size=25))
+def test_matching_statistics(sequences, text):
+    automaton = SuffixAutomaton.of(sequences)
+    state = matched = 0
+    for k, token in enumerate(text):
+        state, matched = automaton.step(state, matched, token)
+        wanted = set()
+        for n, sequence in enumerate(sequences):
+            for end in range(1, len(sequence) + 1):
+                length = 0
+                while length < end and length <= k and sequence[end - 1 - length] == text[k - length]:
+                    length += 1
+                if length:
+                    wanted.add((n, end, length))
+        assert matched == max((length for *_, length in wanted), default=0)
+        assert set(automaton.passages(state, matched, 1)) == wanted
+
+
+def test_base_places(documents, hard_documents):
+    rng = random.Random(2)
+    parts = ["mit", "license", "MIT License", "of the", "general public license", "apache", "zz", "licensé", "mit-license"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(50))) for _ in range(300)]
+    texts += [r.text for df in (documents, hard_documents) for r in df.collect()]
+    for text, row in zip(texts, rows_of(Scanner(), pa.array(texts, pa.string())).to_pylist()):
+        assert base_of(row) == base_by_hand(text), text
+        assert 0 <= row["score"] <= 1 and set(filter(None, row["base_labels"].split(","))) <= set(row["labels"].split(","))
+
+
+def test_templates_are_found_whole_changed_and_in_parts():
+    scanner = Scanner()
+    for number, (label, template) in enumerate(TEMPLATES):
+        words = template.split()
+        whole = ["before", "it", *words, "and", "after"]
+        changed = [*words[: len(words) // 2], "inserted", *words[len(words) // 2 :]]
+        rows = rows_of(scanner, pa.array([" ".join(whole), ", ".join(changed).upper(), " ".join(words[: len(words) // 3])])).to_pylist()
+        span = max(rows[0]["spans"], key=lambda s: (s["label"] == label, s["cover"]))
+        assert (span["label"], span["first_word"], span["last_word"], span["cover"]) == (label, 2, len(words) + 1, 1.0)
+        assert rows[0]["score"] == 1.0 and label in rows[0]["labels"].split(",")
+        if len(words) > 11:
+            assert label in rows[1]["labels"].split(",") and rows[1]["score"] >= 0.75
+            assert label not in rows[2]["labels"].split(",") or label in rows[2]["base_labels"].split(",")
+
+
+def test_far_apart_halves_are_no_span():
+    words = TEMPLATES[6][1].split()
+    text = " ".join([*words[:10], *["filler"] * 100, *words[10:]])
+    row = rows_of(Scanner(), pa.array([text])).to_pylist()[0]
+    assert row["labels"] == "" and 0 < row["score"] < 0.75
+
+
+def test_columns_and_defined_cases(spark, hard_documents, no_documents):
+    rows = hard_documents.withColumn("found", scanned(spark)).collect()
+    for row in rows:
+        assert base_of(row.found.asDict()) == base_by_hand(row.text)
+    empty = next(r.found for r in rows if r.text is None)
+    assert (empty.n_words, empty.score, empty.labels, empty.spans) == (0, 0.0, "", [])
+    assert no_documents.select(scanned(spark)).collect() == []
