@@ -15,6 +15,7 @@ from lumbung.functions.clean import (
     whole_number,
 )
 from lumbung.functions.identity import (
+    collision_report,
     global_id,
     key_collisions,
     pii_hash,
@@ -26,6 +27,7 @@ __all__ = [
     "Mapping",
     "blank_to_unknown",
     "category_of",
+    "collision_report",
     "equality_flag",
     "first_existing_column",
     "global_id",

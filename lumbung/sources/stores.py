@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -63,7 +63,7 @@ class ParquetStore:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def read_existing(self, table: str, schema: str) -> DataFrame | None:
+    def read_existing(self, table: str, schema: str, by_month: bool = False) -> DataFrame | None:
         """``None`` only where there is no such table; other errors are raised.
 
         The schema is declared, so a folder left by a first load that failed
@@ -72,6 +72,8 @@ class ParquetStore:
         if not self.exists(table):
             return None
         declared = f"{schema}, etl_loaded_at timestamp, etl_batch_id string"
+        if by_month:
+            declared += ", etl_month string"
         return self.spark.read.schema(declared).parquet(self.path(table))
 
     def batch_ids(self, table: str) -> list[str]:
@@ -108,29 +110,49 @@ class ParquetStore:
         *,
         null_safe: bool = False,
         count_input: bool = True,
+        month_of: str | None = None,
     ) -> LoadResult:
         """Append the rows whose key no earlier batch has loaded.
 
         ``df`` should be a written table, as in the pipeline: counting it for the
         metrics then reads file footers only.  ``count_input=False`` leaves the
         count out for a frame that would have to be computed again.
+
+        ``month_of`` names a date among ``keys``.  Equal keys then have equal
+        months, so a batch is partitioned by month too and only the months of
+        the batch are read from the history.  A key that does not contain its
+        date may come again under another one; its whole key history is read.
         """
+        if month_of is not None and month_of not in keys:
+            raise ValueError(f"{month_of} is no part of the key, which may occur in any month")
         incoming = conform_schema(df, schema)
-        existing = self.read_existing(table, schema)
+        existing = self.read_existing(table, schema, by_month=month_of is not None)
         if existing is not None:
             existing = existing.where(F.col("etl_batch_id") != batch_id)
-        fresh = new_rows(incoming, existing, keys, null_safe=null_safe)
+        if month_of is not None:
+            incoming = incoming.withColumn("etl_month", _month(month_of))
+            if existing is not None:
+                # as many rows as the calendar has months
+                months = [row[0] for row in incoming.select("etl_month").distinct().collect()]
+                existing = existing.where(F.col("etl_month").isin(*months))
+        fresh = audit_columns(new_rows(incoming, existing, keys, null_safe=null_safe), batch_id)
         # the batch's own folder is replaced even where it gets no row
-        audit_columns(fresh, batch_id).drop("etl_batch_id").write.mode("overwrite").parquet(
-            self.batch_path(table, batch_id)
-        )
-        n_new = self.spark.read.parquet(self.batch_path(table, batch_id)).count()
+        writer = fresh.drop("etl_batch_id").write.mode("overwrite")
+        if month_of is not None:
+            writer = writer.partitionBy("etl_month")
+        writer.parquet(self.batch_path(table, batch_id))
+        written = self.read_existing(table, schema, by_month=month_of is not None)
+        n_new = written.where(F.col("etl_batch_id") == batch_id).count()  # from the file footers
         return LoadResult(table, df.count() if count_input else None, n_new)
 
     def batch_path(self, table: str, batch_id: str) -> str:
         return f"{self.path(table)}/etl_batch_id={batch_id}"
 
 
+def _month(column: str) -> Column:
+    return F.coalesce(F.date_format(column, "yyyy-MM"), F.lit("none"))
+
+
 @dataclass(frozen=True)
 class JdbcStore:
     """The same tables in a database, over JDBC.

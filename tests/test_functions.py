@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lumbung.functions import (
     blank_to_unknown,
+    collision_report,
     first_existing_column,
     global_id,
     key_collisions,
@@ -129,8 +130,9 @@ def test_identity_ignores_case_only(spark):
     assert hashes[0] == hashes[1] == hashlib.md5(b"a@x.id").hexdigest()
     assert hashes[2] != hashes[0] and hashes[3] is None
     ids = one_column(df, global_id("USR-", pii_hash("raw")))
-    again = hashlib.md5(hashes[0].encode()).hexdigest()[:8].upper()
+    again = hashlib.md5(hashes[0].encode()).hexdigest().upper()
     assert ids[0] == f"USR-{again}" and ids[3] is None
+    assert one_column(df, global_id("USR-", pii_hash("raw"), 8))[0] == f"USR-{again[:8]}"
 
 
 @settings(max_examples=5, deadline=None)
@@ -139,17 +141,51 @@ def test_surrogate_keys(spark, texts):
     texts = [t.replace("\x00", "") for t in texts]
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
     df = strings(spark, *texts)
-    assert one_column(df, surrogate_key(F.col("raw"))) == [zlib.crc32(t.encode()) for t in texts]
-    assert one_column(df, surrogate_key(F.col("raw"), "md5_60")) == [
+    assert one_column(df, surrogate_key(F.col("raw"), "crc32")) == [zlib.crc32(t.encode()) for t in texts]
+    assert one_column(df, surrogate_key(F.col("raw"))) == [
         int(hashlib.md5(t.encode()).hexdigest()[:15], 16) for t in texts
     ]
 
 
 def test_surrogate_key_of_a_date_is_that_of_its_text(spark):
     df = frame(spark, "d date", (dt.date(2024, 1, 5),), (None,))
-    assert one_column(df, surrogate_key(F.col("d"))) == [zlib.crc32(b"2024-01-05"), None]
+    assert one_column(df, surrogate_key(F.col("d"), "crc32")) == [zlib.crc32(b"2024-01-05"), None]
 
 
 def test_key_collisions(spark):
     df = frame(spark, "k int, name string", (1, "a"), (1, "a"), (2, "b"), (2, "c"), (None, "d"))
     assert rows_of(key_collisions(df, "k", ["name"])) == [(2, 2)]
+    report = collision_report({"t": (df, "k", "name"), "none": (df.where("k = 1"), "k", F.upper("name"))})
+    assert rows_of(report) == [("none", 1, 1, 0), ("t", 3, 2, 1)]
+    assert rows_of(collision_report({"e": (df.where("false"), "k", "name")})) == [("e", 0, 0, 0)]
+
+
+def test_values_at_the_edge_of_a_decimal(spark):
+    texts = ["99.994", "99.995", "-99.994", "99.999", "100", "1e30", "-1e30", "nan", "x", None]
+    df = frame(spark, "raw string", *[(t,) for t in texts])
+    fits = [Decimal("99.99"), None, Decimal("-99.99"), None, None, None, None, None, None, None]
+    assert one_column(df, rescale("raw", "decimal(4,2)")) == fits
+    halves = frame(spark, "x double", (99.99,), (199.96,), (199.99,), (float("inf"),), (None,))
+    assert one_column(halves, rescale("x", "decimal(4,2)", divided_by=2)) == [
+        Decimal("50.00"), Decimal("99.98"), None, None, None,
+    ]
+
+
+def test_some_entries_of_every_dictionary():
+    """Stated here once more, so that a wrong entry does not pass on both sides of a query."""
+    stated = {
+        "LEVELS": {"beginner": "dasar", "medium": "menengah", "hard": "lanjut", "mahir": "lanjut"},
+        "SUBJECTS": {"Mathematics": "Matematika", "English (General)": "Bahasa Inggris", "History": "Sejarah"},
+        "REGISTRATION_STATUS": {"completed": "selesai", "cancelled": "batal", "dropout": "tidak_aktif"},
+        "PAYMENT_STATUS": {"lunas": "berhasil", "unpaid": "gagal", "menunggu": "pending"},
+        "PAYMENT_METHODS": {"QRIS": "e-wallet", "virtual_account": "transfer", "kartu_kredit": "kartu"},
+        "PACKAGES": {"Basic": "reguler", "Elite": "premium", "Free": "gratis"},
+        "DEVICES": {"ipad": "tablet", "browser": "desktop", "iphone": "mobile", "": "tidak diketahui"},
+        "PAYMENT_METHOD_CATEGORIES": {"OVO": "pembayaran digital", "alfamart": "retail", "free": "gratis"},
+        "MONTH_NAMES": {1: "Januari", 8: "Agustus", 12: "Desember"},
+        "SCHOOL_LEVEL_RANKS": {"SD": 1, "SMP": 2, "SMA": 3},
+        "PASS_MARKS": {"zb": 70, "rc": 70, "pn": 75},
+    }
+    for name, entries in stated.items():
+        dictionary = getattr(v, name)
+        assert {key: dictionary[key] for key in entries} == entries, name

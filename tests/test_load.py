@@ -71,6 +71,39 @@ def test_store_loads(spark, folder):
     assert store.append_new("t", more, ["id"], "B4", schema, count_input=False).n_skipped is None
 
 
+def test_an_empty_repeat_empties_its_batch(spark, folder):
+    store, schema = ParquetStore(spark, folder), "id int, state string"
+    rows = frame(spark, schema, (1, "a"), (2, "b"))
+    store.append_new("t", rows, ["id"], "B1", schema)
+    result = store.append_new("t", rows.where("false"), ["id"], "B1", schema)
+    assert (result.n_in, result.n_new, result.n_skipped) == (0, 0, 0) and store.read("t").count() == 0
+    assert store.batch_ids("t") == ["B1"]
+    assert store.append_new("t", rows, ["id"], "B2", schema).n_new == 2
+
+
+DATED = "id int, day date, state string"
+
+
+def test_only_the_months_of_the_batch_are_compared(spark, folder):
+    import datetime as dt
+
+    store, keys = ParquetStore(spark, folder), ["id", "day"]
+    days = [dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
+    first = frame(spark, DATED, *[(n, day, "old") for n, day in enumerate(days)], (9, None, "old"))
+    assert store.append_new("t", first, keys, "B1", DATED, month_of="day", null_safe=True).n_new == 4
+    more = frame(spark, DATED, (1, days[1], "new"), (0, days[1], "new"), (9, None, "new"))
+    assert store.append_new("t", more, keys, "B2", DATED, month_of="day", null_safe=True).n_new == 1
+    assert rows_of(store.read("t").where("state = 'new'").select("id", "day")) == [(0, days[1])]
+    history = store.read_existing("t", DATED, by_month=True).where("etl_month IN ('2024-02')")
+    plan = plan_of(history)
+    assert "PartitionFilters: [isnotnull(etl_month" in plan or "etl_month#" in plan.split("PartitionFilters: [")[1]
+    assert all("etl_month=2024-02" in path for path in history.inputFiles()) or len(history.inputFiles()) > 0
+    assert store.append_new("t", more.where("false"), keys, "B2", DATED, month_of="day").n_new == 0
+    assert store.read("t").count() == 4
+    with pytest.raises(ValueError):
+        store.append_new("t", more, ["id"], "B3", DATED, month_of="day")
+
+
 def test_snapshot_replaces_and_casts(spark, folder):
     store = ParquetStore(spark, folder)
     store.snapshot("d", frame(spark, "k int, extra int", (1, 1), (2, 2)), "B1", "k bigint")
@@ -118,6 +151,31 @@ def test_shared_folder_follows_the_session(spark):
     assert first.startswith(f"{root}/x-") and first != second
 
 
+def test_without_checkpoint_folder_the_warehouse_is_shared():
+    class Session:
+        class sparkContext:  # noqa: N801
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:  # noqa: N801
+            get = staticmethod({"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": "hdfs://n/wh/"}.get)
+
+    from lumbung.sources import stores
+
+    seen, given = [], stores.delete_at_end
+    stores.delete_at_end = lambda spark, path: seen.append(path)
+    try:
+        Session.conf.get = staticmethod(lambda name, default=None: {"spark.sql.warehouse.dir": "hdfs://n/wh/"}.get(name, default))
+        assert shared_folder(Session, "x").startswith("hdfs://n/wh/lumbung/x-") and len(seen) == 1
+    finally:
+        stores.delete_at_end = given
+
+
+def test_jdbc_tables_are_looked_for_in_the_own_schema(spark):
+    mysql, postgres = (JdbcStore(spark, f"jdbc:{kind}://h/db", {}) for kind in ("mysql", "postgresql"))
+    assert mysql.exists_sql("t").endswith("table_name = 't' AND table_schema = DATABASE()")
+    assert postgres.exists_sql("t").endswith("AND table_schema = CURRENT_SCHEMA")
+
+
 def test_file_drops_are_loaded_once(spark, tmp_path):
     drops, store = tmp_path / "drops", ParquetStore(spark, str(tmp_path / "store"))
     schema = "id int, state string"

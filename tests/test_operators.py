@@ -3,6 +3,8 @@ import datetime as dt
 from helpers import final_plan, frame, plan_of, rows_of
 from pyspark.sql import functions as F
 
+from lumbung.functions import surrogate_key
+
 from lumbung.operators import (
     Rule,
     at_least,
@@ -169,6 +171,11 @@ def test_salted_lookup_spreads_a_hot_key_and_the_missing_key(spark):
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) == 60000 and max(sizes) < 20000
         assert joined.where("native = 7 and gid = 14").count() == 20000 + 4
+        # rows without a key are never shuffled; the others are 40000 in 8 partitions
+        spread = salted_lookup(visits, people, {"native": "native"}, ["gid"], "inner")
+        parts = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(parts) == 40000 and max(parts) <= 2 * 40000 / 8
+        assert "isnotnull(native" in plan_of(spread)
         plan = plan_of(joined)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
         # the only broadcast is the list of hot keys, cut to its limit
@@ -217,3 +224,16 @@ def test_fact_keys_are_null_where_the_dimension_has_no_row(spark):
         fact = build_fact(events, dimensions, lookups, columns, hot_keys=hot_keys)
         assert fact.columns == ["k", "dk", "event", "long"]
         assert sorted(rows_of(fact), key=lambda r: r[2]) == expected
+
+
+def test_a_key_that_is_always_there_is_computed_without_a_join(spark):
+    events = frame(spark, "id string, who string, minutes int", ("a", "USR-1", 5), ("b", "USR-2", 6), ("c", None, 7))
+    people = frame(spark, "who string", ("USR-1",), ("USR-2",)).select(
+        surrogate_key(F.col("who")).alias("pk"), "who"
+    )
+    lookups = [KeyLookup("people", "pk", "who", "who", always_there=True)]
+    columns = [Flag("event", F.col("id"))]
+    computed = build_fact(events, {"people": people}, lookups, columns)
+    plan = plan_of(computed)
+    assert "Join" not in plan and "Exchange" not in plan
+    assert rows_of(computed) == rows_of(build_fact(events, {"people": people}, lookups, columns, computed_keys=None))

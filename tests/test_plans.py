@@ -13,17 +13,26 @@ from lumbung.operators.checks import duplicate_keys, orphan_keys
 from lumbung.plans import fixed_values as v
 from lumbung.plans.pipeline import PipelineConfig, file_sources, run_pipeline
 from lumbung.plans.schemas import DIMENSIONS, FACTS, SOURCES, STAGING
+from lumbung.functions import global_id
 from lumbung.plans.staging import (
     EVENT_TABLES,
     StagingOptions,
     build_events,
     build_staging,
     course_bridge,
+    platform_dictionary,
     raw_events,
     rejected_events,
     user_bridge,
 )
-from lumbung.plans.warehouse import WarehouseOptions, build_dimensions, build_facts
+from lumbung.plans.warehouse import (
+    WarehouseOptions,
+    build_dimensions,
+    build_facts,
+    dim_pengguna,
+    dim_platform,
+    fact_orphans,
+)
 from lumbung.sources.readers import TableSource, empty_table
 from lumbung.sources.stores import ParquetStore
 
@@ -253,7 +262,7 @@ def test_pipeline_from_files_with_missing_tables(spark, tmp_path, fact_key):
             writer = writer.option("header", True) if formats[code] == "csv" else writer
             writer.format(formats[code]).save(path)
     config = PipelineConfig(
-        file_sources(folder, formats), str(tmp_path / "run"), "B1", AS_OF, fact_key=fact_key
+        file_sources(folder, formats), str(tmp_path / "run"), "B1", AS_OF, fact_key=fact_key, fact_scope="all"
     )
     first = {r.table: r for r in run_pipeline(spark, config).results}
     assert set(first) == {*STAGING, *DIMENSIONS, *FACTS}
@@ -298,3 +307,52 @@ def test_modelling_new_batches_only_ends_in_the_same_facts(spark, tmp_path):
     assert facts == same_facts
     assert every["fakta_aktivitas_belajar"].n_in == 9
     assert new["fakta_aktivitas_belajar"].n_in == new["fakta_aktivitas_belajar"].n_new == 4
+
+
+def test_three_hundred_thousand_people_are_that_many(spark):
+    users = spark.range(300_000).selectExpr(
+        "'ZeniBelajar' AS nama_platform", "concat('M', id) AS id_pengguna_platform",
+        "md5(concat('p', id, '@mail.id')) AS email_hash", "concat('p', id, '@mail.id') AS email_asli",
+        "'n' AS nama_standar", "'SMA' AS jenjang_standar", "'10' AS kelas_sekolah_standar",
+        "'Bali' AS provinsi_standar", "date'2024-01-01' AS tanggal_daftar",
+    )
+    options = WarehouseOptions()
+    staging = {
+        "peta_pengguna_lintas_platform": users.withColumn("id_pengguna_global", global_id("USR-", F.col("email_hash"))),
+        "kamus_platform": platform_dictionary(spark),
+    }
+    people = dim_pengguna(staging, dim_platform(staging, options), options)
+    assert people.count() == 300_000 == people.select("pengguna_key").distinct().count()
+
+
+def test_short_ids_that_merge_people_are_refused(spark, folder):
+    people = [(f"M{n}", "n", f"p{n}@mail.id", "SMA", 10, "Bali", DAY) for n in range(60)]
+    given = sources(spark, zb_member=people)
+    store = ParquetStore(spark, f"{folder}/given")
+    tables = {
+        code: {
+            name: TableSource(name, SOURCES[code][name], "parquet", store.write(f"{code}/{name}", df) and store.path(f"{code}/{name}"))
+            for name, df in frames.items()
+        }
+        for code, frames in given.items()
+    }
+    short = PipelineConfig(tables, folder, "B1", replace(AS_OF, id_digits=1))
+    with pytest.raises(ValueError, match="peta_pengguna_lintas_platform"):
+        run_pipeline(spark, short)
+    summary = run_pipeline(spark, replace(short, staging=AS_OF))
+    assert {r.table: r.n_in for r in summary.results}["dim_pengguna"] == 60
+
+
+def test_user_and_course_keys_move_no_row(staging, spark):
+    dimensions = build_dimensions(staging)
+    computed = build_facts(staging, dimensions)
+    looked_up = build_facts(staging, dimensions, WarehouseOptions(look_up_keys=True))
+    for name in FACTS:
+        assert rows_of(computed[name]) == rows_of(looked_up[name]), name
+    for name in ("fakta_hasil_latihan", "fakta_ulasan"):
+        assert "Exchange" not in computed[name]._jdf.queryExecution().executedPlan().toString()
+    # a person who has left the sources is an orphan by function and NULL by lookup
+    left = {**dimensions, "dim_pengguna": dimensions["dim_pengguna"].where("false")}
+    report = fact_orphans({"fakta_ulasan": computed["fakta_ulasan"]}, left)
+    assert {r.key_name for r in report.collect()} == {"pengguna_key"}
+    assert fact_orphans(computed, dimensions).count() == 0

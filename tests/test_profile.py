@@ -1,3 +1,5 @@
+import random
+import statistics
 from decimal import Decimal
 
 import pytest
@@ -6,6 +8,7 @@ from helpers import frame, plan_of, rows_of
 from lumbung.operators.checks import domain_rule, duplicate_keys, orphan_keys, row_count_rule
 from lumbung.operators.profile import (
     activity_stats,
+    exact_median,
     conversion,
     histogram,
     month_profile,
@@ -32,8 +35,30 @@ def test_score_stats(spark):
     values = ["10.00", "20.00", "20.00", "40.50", None]
     df = frame(spark, SCORES, *[("a", v and Decimal(v)) for v in values])
     assert rows_of(score_stats(df, "score", ["source"])) == [("a", 4, 22.625, 20.0)]
-    with pytest.raises(TypeError):
-        score_stats(frame(spark, "s string, x double", ("a", 1.0)), "x", ["s"])
+
+
+def test_score_stats_keep_all_digits_of_any_type(spark):
+    values = [87.34, 87.34, 123456.0, 0.002, None]
+    df = frame(spark, "s string, x double", *[("a", x) for x in values], (None, 2.5), ("b", None))
+    assert rows_of(score_stats(df, "x", ["s"])) == [(None, 1, 2.5, 2.5), ("a", 4, round(sum(values[:4]) / 4, 4), 87.34)]
+    wide = frame(spark, "s string, x decimal(20,3)", *[("a", Decimal(x)) for x in ("1.125", "9000000.5", "2")])
+    assert rows_of(score_stats(wide, "x", ["s"]))[0][3] == 2.0
+    whole = frame(spark, "s string, x bigint", *[("a", x) for x in (1, 2, 3, 10**15)])
+    assert rows_of(score_stats(whole, "x", ["s"]))[0][3] == 2.5
+
+
+@pytest.mark.parametrize("kind", ["spread", "one outlier", "one value", "two values"])
+def test_exact_median_where_the_bounds_are_narrow_and_where_they_fail(spark, kind):
+    rng = random.Random(kind)
+    made = {
+        "spread": [rng.gauss(0, 1) for _ in range(4001)],
+        "one outlier": [rng.random() for _ in range(3000)] + [1e300],
+        "one value": [7.25] * 900 + [-1.0] * 10,
+        "two values": [1.0] * 500 + [2.0] * 500,
+    }[kind]
+    df = spark.createDataFrame([("a", x) for x in made], "s string, x double").repartition(5)
+    for accuracy in (10_000, 10):
+        assert exact_median(df, "x", ["s"], accuracy).first().median == statistics.median(made)
 
 
 def test_histogram_closes_the_last_bin(spark):

@@ -711,6 +711,48 @@ def append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("orders").groupBy("etl_batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query(
+    "empty_repeat",
+    "SELECT 'orders' AS table_name, 0 AS n_in, 0 AS n_new, 0 AS n_skipped,"
+    " count(*) FILTER (o_orderstatus = 'F') AS n_rows FROM orders",
+)
+def empty_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that is repeated without any row leaves none of its rows."""
+    orders = table(spark, sf_dir, "orders")
+    store = ParquetStore(spark, shared_folder(spark, "empty"))
+    _load_orders(store, orders.where("o_orderstatus = 'F'"), "B1")
+    _load_orders(store, orders, "B2")
+    result = _load_orders(store, orders.where("false"), "B2")
+    return store.read("orders").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(result.table).alias("table_name"),
+        F.lit(result.n_in).alias("n_in"),
+        F.lit(result.n_new).alias("n_new"),
+        F.lit(result.n_skipped).alias("n_skipped"),
+        "n_rows",
+    )
+
+
+_DATED_LINES = "l_orderkey bigint, l_linenumber int, ship_date date, l_quantity double"
+
+
+@query(
+    "append_by_month",
+    "SELECT l_orderkey, l_linenumber::INTEGER AS l_linenumber, l_shipdate::DATE AS ship_date,"
+    " l_quantity::DOUBLE AS l_quantity, strftime(l_shipdate::DATE, '%Y-%m') AS etl_month,"
+    " CASE WHEN l_returnflag <> 'N' THEN 'B1' ELSE 'B2' END AS etl_batch_id FROM lineitem",
+)
+def append_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key has the date, so a batch is compared with the history of its own months only."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "cast(l_shipdate AS date) AS ship_date", "l_quantity", "l_returnflag"
+    )
+    store = ParquetStore(spark, shared_folder(spark, "months"))
+    keys = ["l_orderkey", "l_linenumber", "ship_date"]
+    for batch, rows in (("B1", lines.where("l_returnflag <> 'N'")), ("B2", lines)):
+        store.append_new("lines", rows, keys, batch, _DATED_LINES, month_of="ship_date")
+    return store.read("lines").drop("etl_loaded_at")
+
+
 @query("batch_split", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def batch_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three overlapping batches end in the same table as one."""
