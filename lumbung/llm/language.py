@@ -304,7 +304,7 @@ def _train(rows, words, counts, truth, languages, size, bounds):
     later = np.flatnonzero(inner)
     np.add.at(pairs, (truth[later - 1], truth[later]), 1)
     for turn in range(1, bounds.rounds + 1):
-        scores = np.add.reduceat(weights[rows], begins, axis=0)
+        scores = np.stack([np.add.reduceat(weights[rows, k], begins) for k in range(languages)], axis=1)
         chance = np.exp(scores - scores.max(axis=1, keepdims=True))
         move = np.exp(transitions)
         forward, back = np.zeros((len(truth), languages)), np.ones((len(truth), languages))
@@ -321,8 +321,8 @@ def _train(rows, words, counts, truth, languages, size, bounds):
         share /= share.sum(axis=1, keepdims=True)
         both = np.einsum("ns,nt->nst", forward[later - 1], back[later] * chance[later]) * move
         both /= both.sum(axis=(1, 2), keepdims=True)
-        wrong = (share - one_hot)[words]
-        slope = np.stack([np.bincount(rows, wrong[:, k], size) for k in range(languages)], axis=1)
+        wrong = share - one_hot
+        slope = np.stack([np.bincount(rows, wrong[words, k], size) for k in range(languages)], axis=1)
         for parameter, gradient, m, v in (
             (weights, slope / len(truth) + 1e-6 * weights, moments[0], moments[1]),
             (transitions, (both.sum(axis=0) - pairs) / len(truth) + 1e-6 * transitions, moments[2], moments[3]),

@@ -14,7 +14,7 @@ it turns a copy's place into its training position.  Documents are then sorted b
 position, by ranges.
 
 A running sum per source would put a hot source in one task, so it is made in two
-steps: over hash ranges, whose number follows the row count, and within a range.
+steps: over hash ranges, as many as the square root of the row count, and within one.
 
 Defined cases: NULL text has size 0; a document of size 0 takes nothing and has no
 position; rows that repeat take the words of each row; an empty table gives an
@@ -34,8 +34,6 @@ from lumbung.llm.cluster import cut
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
-#: rows of one hash range of a source, on average
-RANGE_ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -94,6 +92,18 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
+def range_digits(n: int) -> int:
+    """Leading hex digits of the hash that name a range.
+
+    There are about as many ranges as rows in one (both near the square root of
+    ``n``), so neither step of the running sum grows faster than that in a task.
+    """
+    digits = 0
+    while 256**digits < n:
+        digits += 1
+    return digits
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """(source, place, source_size, target) from (source, source_size); one row for each source."""
     ordered = Window.orderBy("source")
@@ -129,10 +139,7 @@ def mixed(
     of it is within the target.  ``positions`` has the training time of each copy.
     """
     rows = sized(docs)
-    n = rows.count()
-    digits = 0
-    while n > RANGE_ROWS * 16**digits and digits < 12:
-        digits += 1
+    digits = range_digits(rows.count())
     rows = rows.withColumn("range", F.substring("at", 1, digits) if digits else F.lit(""))
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("words"))
     targets = source_targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")))

@@ -25,9 +25,9 @@ def level_by_hand(sizes):
     return target
 
 
-@pytest.mark.parametrize("range_rows", [4096, 2])
-def test_targets_and_takes(spark, hard_documents, monkeypatch, range_rows):
-    monkeypatch.setattr(mixing, "RANGE_ROWS", range_rows)
+@pytest.mark.parametrize("digits", [0, 2])
+def test_targets_and_takes(spark, hard_documents, monkeypatch, digits):
+    monkeypatch.setattr(mixing, "range_digits", lambda n: digits)
     rows = mixed(hard_documents).collect()
     given = hard_documents.collect()
     assert len(rows) == len(given)
