@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.sources.stores import shared_folder
+
 ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
 
@@ -36,8 +38,7 @@ def shared_checkpoints(spark: SparkSession) -> None:
     """Checkpoints go to ``spark.checkpoint.dir``; only where it is unset, below the warehouse."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or shared_folder(spark, "checkpoints"))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -260,12 +260,12 @@ def nearest(vectors: DataFrame, is_query: Column, plan: SearchPlan = SearchPlan(
         .collect()  # at most MOST_CELLS rows
     )
     salts = {row["cell"]: -(-row["n"] // (2 * plan.block_rows)) for row in bounds}
-    salt_of = F.create_map(*(F.lit(x) for pair in salts.items() for x in pair))
+    salt_of = F.element_at(F.lit([salts.get(cell, 1) for cell in range(cells)]), F.col("at.cell") + 1)
     dealt = in_cells.select(
         "vec_id",
         "embedding",
         F.col("at.cell").alias("cell"),
-        F.pmod(F.xxhash64("vec_id"), salt_of[F.col("at.cell")]).cast("int").alias("salt"),
+        F.pmod(F.xxhash64("vec_id"), salt_of).cast("int").alias("salt"),
     )
     blocks = cut(_packed_blocks(dealt, plan))
 
