@@ -137,9 +137,11 @@ class ParquetStore:
                 existing = existing.where(F.col("etl_month").isin(*months))
         fresh = audit_columns(new_rows(incoming, existing, keys, null_safe=null_safe), batch_id)
         # the batch's own folder is replaced even where it gets no row
-        writer = fresh.drop("etl_batch_id").write.mode("overwrite")
-        if month_of is not None:
-            writer = writer.partitionBy("etl_month")
+        fresh = fresh.drop("etl_batch_id")
+        if month_of is None:
+            writer = fresh.write.mode("overwrite")
+        else:  # few files a month, and a large month in several
+            writer = fresh.hint("rebalance", "etl_month").write.mode("overwrite").partitionBy("etl_month")
         writer.parquet(self.batch_path(table, batch_id))
         written = self.read_existing(table, schema, by_month=month_of is not None)
         n_new = written.where(F.col("etl_batch_id") == batch_id).count()  # from the file footers

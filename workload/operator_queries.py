@@ -739,7 +739,10 @@ _DATED_LINES = "l_orderkey bigint, l_linenumber int, ship_date date, l_quantity
     "append_by_month",
     "SELECT l_orderkey, l_linenumber::INTEGER AS l_linenumber, l_shipdate::DATE AS ship_date,"
     " l_quantity::DOUBLE AS l_quantity, strftime(l_shipdate::DATE, '%Y-%m') AS etl_month,"
-    " CASE WHEN l_returnflag <> 'N' THEN 'B1' ELSE 'B2' END AS etl_batch_id FROM lineitem",
+    " CASE WHEN l_returnflag <> 'N' THEN 'B1' ELSE 'B2' END AS etl_batch_id FROM lineitem x"
+    " WHERE l_returnflag <> 'N' OR NOT EXISTS (SELECT 1 FROM lineitem y WHERE y.l_returnflag <> 'N'"
+    " AND y.l_orderkey = x.l_orderkey AND y.l_linenumber = x.l_linenumber"
+    " AND y.l_shipdate::DATE = x.l_shipdate::DATE)",
 )
 def append_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key has the date, so a batch is compared with the history of its own months only."""

@@ -41,11 +41,14 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "source_csv",
     "SELECT o_orderkey, o_custkey, o_orderdate::DATE AS day, o_totalprice::DOUBLE AS o_totalprice,"
-    f" {NOTE.format(key='o_orderkey', text='o_orderpriority')} AS note,"
+    f" nullif({NOTE.format(key='o_orderkey', text='o_orderpriority')}, '') AS note,"
     " 'BATCH-20240120-030405' AS etl_batch_id FROM orders",
 )
 def source_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as CSV, extracted, with the id of a batch of a given time."""
+    """Orders as CSV, extracted, with the id of a batch of a given time.
+
+    CSV has no empty text: it is read as NULL.
+    """
     folder = shared_folder(spark, "csv")
     orders = _orders(spark, sf_dir)
     orders.write.options(header=True, **KEEP_BLANKS).csv(f"{folder}/files/orders")
@@ -68,6 +71,7 @@ _CUSTOMERS_SQL = (
     "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey,"
     f" {NOTE.format(key='c_custkey', text='c_mktsegment')} AS note FROM customer"
 )
+_FROM_CSV_SQL = f"SELECT * REPLACE (nullif(note, '') AS note) FROM ({_CUSTOMERS_SQL})"
 
 
 @query("source_documents", _CUSTOMERS_SQL)
@@ -78,7 +82,7 @@ def source_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extracted(spark, folder, TableSource("customer", CUSTOMERS, "json", f"{folder}/files/customer"))
 
 
-@query("csv_to_documents", _CUSTOMERS_SQL)
+@query("csv_to_documents", _FROM_CSV_SQL)
 def documents_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files turned into documents; a table without a file is skipped."""
     folder = shared_folder(spark, "seed")
