@@ -1,6 +1,7 @@
 """How each source table becomes rows of each conformed table.
 
-This is configuration: one entry per target table and source.
+This is configuration: one entry per target table and source.  The tables,
+columns and id prefixes named here are fixed values: they are those of the sources.
 """
 
 from __future__ import annotations

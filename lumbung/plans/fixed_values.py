@@ -179,6 +179,14 @@ UNKNOWN_DEVICE = "tidak diketahui"
 PACKAGE_LABELS = ("gratis", "reguler", "premium")
 PASS_MARKS = {"zb": 70, "rc": 70, "pn": 75}
 HOME_ISLAND_PATTERN = "Jawa|Jakarta|Banten|Yogyakarta"
+
+# Reports on the sources: full marks where they are not 100, labels of the free
+# package, expected devices, session length in minutes, subjects of the science check.
+FULL_MARKS = {"zb": 1000}
+FREE_PACKAGES = {"zb": "Gratis", "rc": "Gratis", "kj": "Free", "pn": "Gratis"}
+REVIEW_DEVICES = ("ios", "web", "android")
+SESSION_MINUTES = (5, 20)
+SCIENCE_SUBJECTS = ("Mathematics", "Physics", "Chemistry")
 # ----------------------------------------------------------------------------
 
 LEVEL = Mapping("level", LEVELS)

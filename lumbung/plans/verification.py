@@ -29,7 +29,15 @@ from lumbung.operators.profile import (
     value_range,
 )
 from lumbung.plans.catalog import COURSE_ID, USER_ID
-from lumbung.plans.fixed_values import HOME_ISLAND_PATTERN, PLATFORMS
+from lumbung.plans.fixed_values import (
+    FREE_PACKAGES,
+    FULL_MARKS,
+    HOME_ISLAND_PATTERN,
+    PLATFORMS,
+    REVIEW_DEVICES,
+    SCIENCE_SUBJECTS,
+    SESSION_MINUTES,
+)
 
 Sources = Mapping[str, Mapping[str, DataFrame]]
 
@@ -44,6 +52,8 @@ class Observed:
     columns: Mapping[str, str]
 
 
+# ---------------------------------------------------------------- fixed values
+# Tables and columns of the sources.
 USERS = {
     "zb": Observed("member", {"province": "domisili", "day": "waktu_registrasi"}),
     "rc": Observed("siswa", {"province": "domisili_provinsi", "day": "tanggal_registrasi"}),
@@ -72,14 +82,7 @@ SESSIONS = {
     "rc": Observed("log_video", {"minutes": "durasi_menit", "user": USER_ID["rc"]}),
     "pn": Observed("sesi_belajar", {"minutes": "durasi_menit", "user": USER_ID["pn"]}),
 }
-
-# Full marks per platform, labels of the free package, expected
-# devices, session length in minutes, subjects of the science check.
-FULL_MARKS = {"zb": 1000}
-FREE_PACKAGES = {"zb": "Gratis", "rc": "Gratis", "kj": "Free", "pn": "Gratis"}
-REVIEW_DEVICES = ("ios", "web", "android")
-SESSION_MINUTES = (5, 20)
-SCIENCE_SUBJECTS = ("Mathematics", "Physics", "Chemistry")
+# ----------------------------------------------------------------------------
 
 
 def observations(sources: Sources, observed: Mapping[str, Observed], **types: str) -> DataFrame:
