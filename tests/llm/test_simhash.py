@@ -74,7 +74,6 @@ def test_links_connect_exactly_the_groups(spark, monkeypatch, most, distance):
     signed = np.array(prints, np.uint64).view(np.int64).tolist()
     df = spark.createDataFrame([(p,) for p in signed], "fp long").distinct()
     links = [(r.a % 2**64, r.b % 2**64) for r in fingerprint_links(df, distance).collect()]
-    assert all((a ^ b).bit_count() <= 64 for a, b in links)
     wanted = groups_by_hand(prints, distance)
     root = {p: p for p in wanted}
 
@@ -94,8 +93,7 @@ def test_large_entries_by_masks_equal_shifts():
     prints = np.unique(rng.integers(0, 1 << 20, 6000).astype(np.uint64)).view(np.int64)
     keys = np.zeros(len(prints), np.int64)
     a, b = link_sorted(keys, prints, 2)  # more than twice MOST
-    linked = groups_by_hand(prints.tolist()[:0], 2)
-    assert linked == {} and len(prints) > 2 * simhash.MOST
+    assert len(prints) > 2 * simhash.MOST
     label = {int(p): int(p) for p in prints}
     label.update({int(x): int(y) for x, y in zip(a, b)})
     everything = set(label)
@@ -107,9 +105,7 @@ def test_large_entries_by_masks_equal_shifts():
 
 def test_fingerprints(spark, documents, hard_documents):
     for df in (documents, hard_documents):
-        for row in df.select("text", as_hex("fp").alias("h"), ).collect() if "fp" in df.columns else df.withColumn(
-            "fp", fingerprint(3)
-        ).select("text", as_hex("fp").alias("h")).collect():
+        for row in df.select("text", fingerprint(3).alias("fp")).select("text", as_hex("fp").alias("h")).collect():
             assert row.h == f"{fingerprint_by_hand(row.text):016x}"
 
 
