@@ -204,19 +204,23 @@ def _by_masks(value: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(left or none), np.concatenate(right or none)
 
 
+def _rooted(distinct: DataFrame, distance: int) -> DataFrame:
+    """``distinct``, one row for each ``fp``, with the root of its component."""
+    roots = components(fingerprint_links(distinct.select("fp"), distance))
+    return cut(
+        distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+            *distinct.columns, F.coalesce("root", "fp").alias("root")
+        )
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """(doc_id, fp, root, component_id) of every row of ``docs`` (doc_id, text).
 
     ``root`` names the component by one of its fingerprints, so it is never NULL.
     """
     prints = cut(docs.select("doc_id", fingerprint(shingle).alias("fp")))
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(fingerprint_links(distinct.select("fp"), distance))
-    rooted = cut(
-        distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root")
-        )
-    )
+    rooted = _rooted(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), distance)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp").select(
         "doc_id", "fp", "root", "component_id"
@@ -224,21 +228,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: one of each component, the one with the least id.
-
-    Of rows that repeat this id the one with the least hash of all columns stays.
-    Where no row of a component has an id, one row of its least fingerprint stays.
-    """
-    found = cut(near_duplicates(docs.select("doc_id", "text"), shingle, distance))
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    stay = _first_row(docs.join(kept, "doc_id", "left_semi").select(docs.columns), "doc_id")
-    lonely = found.where("component_id is null").groupBy("root").agg(F.min("fp").alias("fp")).select("fp")
-    nameless = docs.where("doc_id is null").withColumn("__fp", fingerprint(shingle))
-    return stay.unionByName(
-        _first_row(nameless.join(lonely, nameless["__fp"] == lonely["fp"], "left_semi"), "__fp").drop("__fp")
-    )
+    """The rows of ``docs``, all columns, that stay: exactly one of each component, one with the least id.
 
+    Components may share their least id: each keeps a row of its own texts.  Of a
+    component's rows that repeat the least id the one with the least hash of all
+    columns stays.  Where no row has an id, one row of the least fingerprint stays.
 
-def _first_row(rows: DataFrame, key: str) -> DataFrame:
-    order = Window.partitionBy(key).orderBy(F.xxhash64(*rows.columns))
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    The row of a fingerprint is chosen before the components are known, and the
+    least of them for each root after it, so neither a crowded id nor a crowded
+    text meets in one task.
+    """
+    names, (high, low) = docs.columns, _row_keys(docs)
+    prints = cut(docs.select("doc_id", fingerprint(shingle).alias("fp"), high.alias("high"), low.alias("low")))
+    nameless = F.col("doc_id").isNull()
+    order = F.struct(nameless.alias("nameless"), "doc_id", F.when(nameless, F.col("fp")).alias("fp"), "high", "low")
+    first = prints.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = _rooted(first, distance).groupBy("root").agg(F.min("first").alias("first"))
+    rows = docs.select(F.struct(*names).alias("row"), high.alias("high"), low.alias("low"))
+    # equal rows: one of each task is left before the shuffle
+    once = Window.partitionBy("high", "low").orderBy("high")
+    rows = rows.withColumn("n", F.row_number().over(once)).where("n = 1")
+    return rows.join(kept.select("first.high", "first.low"), ["high", "low"], "left_semi").select("row.*")
+
+
+def _row_keys(docs: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of all columns, 128 bits; a hash passes over NULLs, so they are told apart by flags."""
+    columns = [docs[f"`{name}`"] for name in docs.columns]
+    flags = [column.isNull() for column in columns]
+    return F.xxhash64(*columns, *flags), F.xxhash64(F.lit(SEED), *columns, *flags)

@@ -149,3 +149,25 @@ def test_one_of_each_component_stays(spark, hard_documents, no_documents):
     nameless = hard_documents.withColumn("doc_id", F.lit(None).cast("long"))
     assert one_of_each(nameless).count() == components
     assert one_of_each(no_documents).collect() == [] and near_duplicates(no_documents).collect() == []
+
+
+def test_components_that_share_an_id_each_keep_a_row(spark, hard_documents):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(500)]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(40)]
+    rows = [(3, texts[0], "x"), (5, texts[0] + " ", "x"), (5, texts[1], "x")]  # (3,A), (5,A'), (5,B)
+    rows += [(7, text, "hot") for text in texts[2:]] * 3  # an id of most rows, and equal rows
+    rows += [(None, texts[0], "x"), (None, "a text without an id", "x"), (None, "a text without an id", None)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for docs in (made, made.repartition(7), hard_documents):
+        given = [tuple(r) for r in docs.collect()]
+        kept = [tuple(r) for r in one_of_each(docs).collect()]
+        roots = groups_by_hand([fingerprint_by_hand(r[1]) for r in given], 3)
+        least = {}
+        for r in given:
+            if r[0] is not None:
+                least[roots[fingerprint_by_hand(r[1])]] = min(r[0], least.get(roots[fingerprint_by_hand(r[1])], r[0]))
+        found = [roots[fingerprint_by_hand(r[1])] for r in kept]
+        components = near_duplicates(docs).select("root").distinct().count()
+        assert len(kept) == components and sorted(found) == sorted(set(roots.values()))
+        assert all(r in given and r[0] == least.get(root) for r, root in zip(kept, found))
