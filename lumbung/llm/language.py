@@ -8,8 +8,10 @@ likely the next word stays in the language.  Forward-backward gives each word's
 distribution, and a text's language is the one with the most words in
 expectation, so a text that switches languages is weighed word by word.
 
-Training is bounded by ``TrainingBounds`` (documents, segments, words) and does
-not grow with the corpus; prediction covers every word of every text.  The
+Every label is learned.  Training is bounded by ``TrainingBounds`` (documents,
+segments, words) and does not grow with the corpus; prediction covers every word
+of every text.  A column with more than ``MOST_LABELS`` labels is refused with an
+error, since the model holds ``TABLE`` rows for each of them.  The
 training sequences join segments of different languages, from which the
 transitions are learned.
 
@@ -33,6 +35,7 @@ from lumbung.llm.spans import Run, column_bytes, mix, slices, span_hashes
 UNDETERMINED = "und"
 TABLE = 1 << 16  # rows of each hashed feature family
 BLOCK = 256  # words of a chain that one matrix product covers
+MOST_LABELS = 1000  # more raise an error
 
 #: letters and all bytes of longer UTF-8 sequences make words; texts are lower case by then
 APART = np.ones(256, bool)
@@ -44,7 +47,7 @@ APART[0x80:] = False
 class TrainingBounds:
     """What is read for training, whatever the size of the corpus."""
 
-    languages: int = 64  # the most frequent labels
+    languages: int = 64  # with so many whole samples; more languages, all learned, share as many documents
     documents: int = 160  # of each language
     segments: int = 8  # of each document, evenly spread over the whole text
     words: int = 16  # of each segment
@@ -63,26 +66,23 @@ class LanguageModel:
 
 
 def labelled_sample(docs: DataFrame, bounds: TrainingBounds) -> list[tuple[str, list[str]]]:
-    """(label, segments) of a bounded sample; the first step counts rows by label only."""
-    counts = (
-        docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .groupBy("lang")
-        .count()
-        .orderBy(F.desc("count"), "lang")
-        .limit(bounds.languages)
-        .collect()
-    )
+    """(label, segments) of a bounded sample of each label; the first step lists the labels only."""
+    counts = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).groupBy("lang").count()
+    counts = counts.limit(MOST_LABELS + 1).collect()
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"lang has more than {MOST_LABELS} labels; a model of them does not fit the driver")
+    each = max(1, min(bounds.documents, bounds.languages * bounds.documents // max(1, len(counts))))
     chosen = F.lit(False)
     order = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
     for row in counts:
-        share = min(1.0, 1.1 * bounds.documents / row["count"])
+        share = min(1.0, 1.1 * each / row["count"])
         chosen = chosen | ((F.col("lang") == row["lang"]) & (order < F.lit(int(share * (1 << 20)) + 1)))
 
     @F.arrow_udf("array<string>")
     def segments(texts: pa.Array) -> pa.Array:
         return pa.array([_segments(text, bounds) for text in texts.to_pylist()], pa.list_(pa.string()))
 
-    most = bounds.documents * max(1, len(counts)) * 2
+    most = each * max(1, len(counts)) * 2
     rows = docs.where(chosen).select("lang", segments(F.lower("text")).alias("parts")).limit(most).collect()
     return sorted((row["lang"], list(row["parts"])) for row in rows if row["parts"])
 
@@ -319,13 +319,14 @@ def _train(rows, words, counts, truth, languages, size, bounds):
             back[at] = vector / vector.sum(axis=1, keepdims=True)
         share = forward * back
         share /= share.sum(axis=1, keepdims=True)
-        both = np.einsum("ns,nt->nst", forward[later - 1], back[later] * chance[later]) * move
-        both /= both.sum(axis=(1, 2), keepdims=True)
+        start, stop = forward[later - 1], back[later] * chance[later]
+        start = start / ((start @ move) * stop).sum(axis=1, keepdims=True)
+        both = (start.T @ stop) * move  # summed over the words, which would need a matrix each
         wrong = share - one_hot
         slope = np.stack([np.bincount(rows, wrong[words, k], size) for k in range(languages)], axis=1)
         for parameter, gradient, m, v in (
             (weights, slope / len(truth) + 1e-6 * weights, moments[0], moments[1]),
-            (transitions, (both.sum(axis=0) - pairs) / len(truth) + 1e-6 * transitions, moments[2], moments[3]),
+            (transitions, (both - pairs) / len(truth) + 1e-6 * transitions, moments[2], moments[3]),
         ):
             m += 0.1 * (gradient - m)
             v += 0.01 * (gradient**2 - v)
@@ -352,7 +353,7 @@ def predict_language(spark: SparkSession, model: LanguageModel | None, text: str
 def _predict(model: LanguageModel, texts: pa.Array) -> pa.Array:
     data, starts, ends = column_bytes(texts)
     best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-    for i, j in slices(starts, ends, 4 << 20):
+    for i, j in slices(starts, ends, (4 << 20) * 4 // max(4, len(model.labels))):
         run = Run(data, starts[i:j], ends[i:j])
         first, last, counts = run.words(APART)
         if len(first) == 0:

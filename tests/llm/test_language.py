@@ -1,8 +1,10 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from lumbung.llm import language
 from lumbung.llm.labelled import held_out_fold, learning_fold
 from lumbung.llm.language import BLOCK, TrainingBounds, expected_words, fit_language_model, predict_language
 
@@ -76,3 +78,18 @@ def test_defined_cases(spark, hard_documents, no_documents):
     only = fit_language_model(hard_documents.where("lang = 'en'"), TrainingBounds(rounds=2))
     assert only.labels == ["en"]
     assert hard_documents.where("doc_id = 8").select(predict_language(spark, only).alias("p")).first().p.score == 1.0
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    names = [f"l{k:02}" for k in range(70)]  # more than TrainingBounds.languages
+    words = {name: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(8)] for name in names}
+    rows = [(n, " ".join(rng.choice(words[name], 24)), name) for n, name in enumerate(names * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language_model(docs, TrainingBounds(rounds=15))
+    assert model.labels == names
+    right = docs.select((predict_language(spark, model)["lang_pred"] == F.col("lang")).alias("right")).where("right")
+    assert right.count() == len(rows)
+    monkeypatch.setattr(language, "MOST_LABELS", 69)
+    with pytest.raises(ValueError, match="69 labels"):
+        fit_language_model(docs)
