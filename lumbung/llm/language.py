@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.llm.labelled import sampled_rows
 from lumbung.llm.spans import Run, column_bytes, mix, slices, span_hashes
 
 UNDETERMINED = "und"
@@ -67,23 +68,18 @@ class LanguageModel:
 
 def labelled_sample(docs: DataFrame, bounds: TrainingBounds) -> list[tuple[str, list[str]]]:
     """(label, segments) of a bounded sample of each label; the first step lists the labels only."""
-    counts = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).groupBy("lang").count()
-    counts = counts.limit(MOST_LABELS + 1).collect()
-    if len(counts) > MOST_LABELS:
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"[a-zA-Z]|[^\x00-\x7f]"))
+    labels = labelled.select("lang").distinct().limit(MOST_LABELS + 1).count()
+    if labels > MOST_LABELS:
         raise ValueError(f"lang has more than {MOST_LABELS} labels; a model of them does not fit the driver")
-    each = max(1, min(bounds.documents, bounds.languages * bounds.documents // max(1, len(counts))))
-    chosen = F.lit(False)
-    order = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
-    for row in counts:
-        share = min(1.0, 1.1 * each / row["count"])
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (order < F.lit(int(share * (1 << 20)) + 1)))
+    each = max(1, min(bounds.documents, bounds.languages * bounds.documents // max(1, labels)))
 
     @F.arrow_udf("array<string>")
     def segments(texts: pa.Array) -> pa.Array:
         return pa.array([_segments(text, bounds) for text in texts.to_pylist()], pa.list_(pa.string()))
 
-    most = each * max(1, len(counts)) * 2
-    rows = docs.where(chosen).select("lang", segments(F.lower("text")).alias("parts")).limit(most).collect()
+    rows = labelled.select("lang", "doc_id", "text")
+    rows = sampled_rows(rows, "lang", each).select("lang", segments(F.lower("text")).alias("parts")).collect()
     return sorted((row["lang"], list(row["parts"])) for row in rows if row["parts"])
 
 

@@ -147,7 +147,6 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, bounds: FitBounds = Fi
     rows = (
         sampled_texts(docs, labels, "quality", bounds.per_class)
         .select("doc_id", "label", columns("text").alias("columns"))
-        .limit(int(2.5 * bounds.per_class))
         .collect()
     )
     rows = sorted(rows, key=lambda row: (row["doc_id"], row["columns"]))

@@ -191,7 +191,6 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, bounds: ListBounds)
         sampled_texts(docs, labels, "quality", bounds.per_class)
         .select("doc_id", "label", statistics().alias("s"))
         .select("doc_id", "label", *(F.expr(_qualified(sql, "s")).alias(name) for name, sql in MEASURES.items()))
-        .limit(int(2.5 * bounds.per_class))
         .collect()
     )
     rows = sorted(rows)

@@ -1,4 +1,5 @@
 import itertools
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -6,7 +7,14 @@ from pyspark.sql import functions as F
 
 from lumbung.llm import language
 from lumbung.llm.labelled import held_out_fold, learning_fold
-from lumbung.llm.language import BLOCK, TrainingBounds, expected_words, fit_language_model, predict_language
+from lumbung.llm.language import (
+    BLOCK,
+    TrainingBounds,
+    expected_words,
+    fit_language_model,
+    labelled_sample,
+    predict_language,
+)
 
 
 def test_forward_backward_equals_all_paths():
@@ -93,3 +101,21 @@ def test_every_label_is_learned(spark, monkeypatch):
     monkeypatch.setattr(language, "MOST_LABELS", 69)
     with pytest.raises(ValueError, match="69 labels"):
         fit_language_model(docs)
+
+
+def test_no_label_and_no_repeated_row_crowds_out_others(spark):
+    hot = "the same text in every row"
+    slot = F.pmod(F.xxhash64("id", F.lit(hot)), F.lit(1 << 20))
+    hot_id = spark.range(5000).orderBy(slot).first()[0]  # of the earliest rows by hash
+    rows = [(hot_id, hot, "en")] * 1000 + [(10_000 + n, f"english text number {n}", "en") for n in range(30)]
+    rows += [(20_000 + n, f"deutscher text nummer {n}", "de") for n in range(30)]
+    rows += [(30_000 + n, "12 34", "fr") for n in range(50)] + [(30_050, "un seul texte", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    bounds = TrainingBounds(documents=20)
+    sample = labelled_sample(docs, bounds)
+    assert Counter(label for label, _ in sample) == {"en": 20, "de": 20, "fr": 1}
+    assert sum(parts == [hot] for _, parts in sample) <= 1
+    assert labelled_sample(docs.repartition(5), bounds) == sample
+    many = spark.createDataFrame([(n, f"text {n}", f"l{n % 70}") for n in range(210)], docs.schema)
+    few = labelled_sample(many, TrainingBounds(languages=2, documents=3))
+    assert len({label for label, _ in few}) == len(few) == 70

@@ -1,9 +1,13 @@
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lumbung.llm.labelled import held_out_fold, learning_fold, sampled_labels
+from lumbung.llm import labelled
+from lumbung.llm.labelled import held_out_fold, learning_fold, sampled_labels, sampled_texts
 from lumbung.llm.quality_model import EMPTY, FEATURES, FitBounds, fit_quality_model, indicators, quality_score
+from lumbung.llm.rules import ListBounds, labelled_statistics
 
 
 def test_indicators_are_distinct_and_do_not_depend_on_neighbours():
@@ -44,3 +48,24 @@ def test_the_sample_is_bounded_and_skips_contradictions(spark, hard_labels):
     many = spark.range(20_000).selectExpr("id AS doc_id", "int(id % 2) AS quality")
     rows = sampled_labels(many, "quality", 300).collect()
     assert 500 < len(rows) <= 750 and sorted(rows) == sorted(sampled_labels(many.repartition(5), "quality", 300).collect())
+
+
+def test_no_class_and_no_id_crowds_out_others(spark, monkeypatch):
+    rows = [(1, f"one of many texts of an id {n % 900}") for n in range(1000)]  # some are equal
+    rows += [(n, f"good text number {n}") for n in range(2, 10)] + [(n, f"bad text number {n}") for n in range(10, 16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([(n, int(n < 10)) for n in range(1, 16)], "doc_id long, quality int")
+    found = sampled_texts(docs, labels, "quality", 12).collect()
+    assert Counter(r.label for r in found) == {1: 12, 0: 6}
+    assert {r.doc_id for r in found} == set(range(1, 16)) and len({(r.doc_id, r.text) for r in found}) == 18
+    assert sorted(found) == sorted(sampled_texts(docs.repartition(5), labels, "quality", 12).collect())
+    assert Counter(labelled_statistics(docs, labels, ListBounds(per_class=12))[1].tolist()) == {True: 6, False: 12}
+    model = fit_quality_model(docs, labels, FitBounds(per_class=12))
+    assert docs.select(quality_score(spark, model)).distinct().count() > 1
+    monkeypatch.setattr(labelled, "PENDING", 7)  # tasks drop hashes many times
+    assert sorted(found) == sorted(sampled_texts(docs, labels, "quality", 12).collect())
+    task = pa.record_batch([pa.array([k % 3 for k in range(60)]), pa.array([k // 2 for k in range(60)])], ["g", "h"])
+    (least,) = labelled._least_of_task(iter([task, task]), 4)
+    assert Counter(zip(least["g"].to_pylist(), least["h"].to_pylist())) == Counter(
+        (g, h) for g in range(3) for h in sorted({k // 2 for k in range(60) if k % 3 == g})[:4]
+    )
