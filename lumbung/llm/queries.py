@@ -18,6 +18,7 @@ from lumbung.llm.quality_model import fit_quality_model, quality_score
 from lumbung.llm.rules import judged, learn_rules
 from lumbung.llm.shards import materialise
 from lumbung.llm.simhash import as_hex, near_duplicates
+from lumbung.llm.toxicity import fit_toxicity_model, toxicity_score
 from lumbung.llm.urls import ALLOW, BLOCK, Entry, filter_urls
 from lumbung.sources.stores import shared_folder
 
@@ -182,3 +183,12 @@ def op10_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     found = filter_urls(spark, pages, list(ENTRIES))
     return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+@query("op12_toxicity_distance")
+def op12_toxicity_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_toxicity_model(docs, labels.where(learning_fold("doc_id", 4, 2)))
+    return docs.select(
+        "doc_id", held_out_fold("doc_id", 4, 2).alias("held_out"), toxicity_score(spark, model).alias("score")
+    ).withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))

@@ -20,13 +20,18 @@ CONTRACT = {
     "op8": "doc_id:bigint n_words:bigint n_base:bigint first_word:bigint last_word:bigint base_labels:string"
     " labels:string score:double",
     "op9": "doc_id:bigint fingerprint:string component_id:bigint",
+    "op11": "doc_id:bigint n_a:bigint n_b:bigint n_groups:bigint n_links:bigint n_best:bigint count_sum:bigint"
+    " groups_sha256:string",
+    "op12": "doc_id:bigint held_out:boolean score:double predicted:int",
+    "op13": "doc_id:bigint leaf:string subroot:string root:string proof_sha256:string folded_root:string"
+    " verified:boolean",
     "op10": "page_id:bigint host:string path:string rule:string verdict:string",
 }
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = contract.queries()
-    assert sorted(int(m[1]) for name in names if (m := re.match(r"op(\d+)_", name))) == list(range(1, 11))
+    assert sorted(int(m[1]) for name in names if (m := re.match(r"op(\d+)_", name))) == list(range(1, 14))
     assert "pipeline" in names
 
 
