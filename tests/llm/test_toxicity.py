@@ -78,14 +78,15 @@ def test_scores_equal_those_of_single_windows(learned, documents):
     assert np.array_equal(got, alone)
 
 
-def test_held_out_documents(spark, learned):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'en'")
+def test_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    found = docs.where(held_out_fold("doc_id", 4, 2)).withColumn("p", toxicity_score(spark, learned))
+    model = fit_toxicity_model(docs, labels.where(learning_fold("doc_id", 4, 2)))
+    found = docs.where(held_out_fold("doc_id", 4, 2)).withColumn("p", toxicity_score(spark, model))
     rows = found.join(labels, "doc_id").select("toxic", "p").collect()
     bad, good = [r.p for r in rows if r.toxic], [r.p for r in rows if not r.toxic]
-    assert len(bad) > 40 and np.mean([b > g for b in bad for g in good]) >= 0.9
-    assert np.mean([b >= 0.3 for b in bad]) >= 0.75 and np.mean([g >= 0.3 for g in good]) <= 0.1
+    assert len(bad) > 100 and np.mean([b > g for b in bad for g in good]) >= 0.92
+    assert np.mean([b >= 0.3 for b in bad]) >= 0.7 and np.mean([g >= 0.3 for g in good]) <= 0.04
 
 
 def test_a_toxic_passage_in_a_long_clean_text_is_found(learned, documents):
@@ -109,7 +110,7 @@ def test_toxic_sequences_are_those_of_more_documents():
     assert {number(whole[k : k + 6]) for k in range(len(whole) - 5)} <= marks
     assert number(b" plain") not in marks and number(b"weathe") not in marks
     common, own = train_dictionaries(ordinary, toxic, ToxicityBounds())
-    assert len(common) == len(own) and b"grumblefish" in own and b"grumblefish" not in common
+    assert len(common) == len(own) and b"umblefis" in own and b"umblefis" not in common
     window = plain_bytes("some new grumblefish here, it is a plain text about weather")
     distances = Distances(common, own)
     assert distances.of(window, windows_of(np.array([len(window)]))[0]).max() > 0
@@ -122,7 +123,7 @@ def test_defined_cases(spark, learned, hard_documents, no_documents, hard_labels
     fitted = fit_toxicity_model(hard_documents, hard_labels.withColumn("toxic", F.col("quality")), ToxicityBounds(5))
     assert all(0 <= r[0] <= 1 for r in hard_documents.select(toxicity_score(spark, fitted)).collect())
     one = fit_toxicity_model(hard_documents, hard_labels)  # class 0 alone is found among the documents
-    assert hard_documents.select(F.max(toxicity_score(spark, one))).first()[0] < 0.01
+    assert all(r[0] < 0.5 for r in hard_documents.select(toxicity_score(spark, one)).collect())
     none = fit_toxicity_model(no_documents, hard_labels)
     assert {r[0] for r in hard_documents.select(toxicity_score(spark, none)).collect()} == {0.5}
 
