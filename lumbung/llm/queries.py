@@ -11,6 +11,7 @@ from lumbung.llm.cluster import ship_package
 from lumbung.llm.labelled import held_out_fold, learning_fold
 from lumbung.llm.language import fit_language_model, predict_language
 from lumbung.llm.licences import scanned
+from lumbung.llm.merkle import folded, group_name, leaf_hash, lower_cased, path_hash, proofs, write_manifest
 from lumbung.llm.mixing import WORD, mixed
 from lumbung.llm.neighbours import nearest
 from lumbung.llm.packing import bins_of, packed
@@ -192,3 +193,29 @@ def op12_toxicity_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "doc_id", held_out_fold("doc_id", 4, 2).alias("held_out"), toxicity_score(spark, model).alias("score")
     ).withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+@query("op13_merkle_manifest")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows is tampered with; their folded roots miss the dataset's root."""
+    docs, folder = table(spark, sf_dir, "documents"), shared_folder(spark, "manifest")
+    fields = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    leaves = docs.select(
+        group_name(F.col("lang")).alias("tree"),
+        F.col("doc_id").alias("key"),
+        leaf_hash(fields).alias("hash"),
+        F.struct(
+            "doc_id", F.when(tampered, leaf_hash([*fields[:-1], lower_cased(F.col("text"))])).alias("tampered")
+        ).alias("row"),
+    )
+    leaves.write.parquet(f"{folder}/leaves")
+    manifest = write_manifest(spark.read.parquet(f"{folder}/leaves"), folder)
+    return proofs(manifest).select(
+        "row.doc_id",
+        F.col("hash").alias("leaf"),
+        F.col("group_root").alias("subroot"),
+        F.lit(manifest.root).cast("string").alias("root"),
+        path_hash(F.col("path")).alias("proof_sha256"),
+        folded(F.coalesce("row.tampered", "hash"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
