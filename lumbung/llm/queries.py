@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.llm.alignment import align_documents
 from lumbung.llm.cluster import ship_package
 from lumbung.llm.labelled import held_out_fold, learning_fold
 from lumbung.llm.language import fit_language_model, predict_language
@@ -219,3 +220,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         path_hash(F.col("path")).alias("proof_sha256"),
         folded(F.coalesce("row.tampered", "hash"), F.col("path")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op11_fragment_alignment")
+def op11_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(spark, table(spark, sf_dir, "documents"), shared_folder(spark, "alignment"))
