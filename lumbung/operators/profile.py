@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from lumbung.functions.exact import exact_sum, rounded_quotient
 from lumbung.operators.conform import union_all
 
 
@@ -68,25 +69,34 @@ def month_profile(
     return wide.select(*by, F.inline(pairs), "peak_pct")
 
 
-def score_stats(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+def score_stats(df: DataFrame, column: str, by: Sequence[str], unit: Column | None = None) -> DataFrame:
     """Q5: mean and exact median of a score of any numeric type.
 
+    ``unit`` is what one point of the result is in the column's scale, the same for all
+    rows of a group; the exact sum and the median are divided by it, once.
+
     The rows are counted per value first.  A decimal of six digits at most bounds
     the number of values by its type (a decimal(5,2) between 0 and 100 has
     10,001), so there the median buffer of a group is small.  Any other type goes
     through ``exact_median``, which never holds all values of a group.
     """
     kind = df.schema[column].dataType
-    rows = df.where(F.col(column).isNotNull())
-    counts = rows.groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n"))
-    value, n = F.col(column), F.col("__n")
-    mean = F.round((F.sum(value * n) / F.sum(n)).cast("double"), 4).alias("mean")
-    total = F.sum(n).alias("n_rows")
+    rows = df.where(F.col(column).isNotNull()).withColumn("__unit", F.lit(1) if unit is None else unit)
+    rows = rows.withColumn("__unit", F.col("__unit").cast("decimal(20,4)"))
+    counts = rows.groupBy(*by, column).agg(
+        F.count(F.lit(1)).alias("__n"),
+        exact_sum(F.col(column), kind).alias("__sum"),
+        F.max("__unit").alias("__unit"),
+    )
+    n, per = F.sum("__n"), F.max("__unit")
+    mean = rounded_quotient(F.sum("__sum"), n * per).alias("mean")
     if isinstance(kind, DecimalType) and kind.precision <= 6:
-        median = F.percentile(value.cast("double"), F.lit(0.5), n)
-        return counts.groupBy(*by).agg(total, mean, F.round(median, 4).alias("median"))
-    medians = exact_median(rows, column, by).select(*by, F.round("median", 4).alias("median"))
-    return _join_groups(counts.groupBy(*by).agg(total, mean), medians, by)
+        median = F.percentile(F.col(column).cast("double"), F.lit(0.5), F.col("__n")) / per.cast("double")
+        return counts.groupBy(*by).agg(n.alias("n_rows"), mean, F.round(median, 4).alias("median"))
+    stats = counts.groupBy(*by).agg(n.alias("n_rows"), mean, per.alias("__unit"))
+    medians = exact_median(rows, column, by).withColumnRenamed("median", "__median")
+    median = F.round(F.col("__median") / F.col("__unit").cast("double"), 4).alias("median")
+    return _join_groups(stats, medians, by).select(*by, "n_rows", "mean", median)
 
 
 def exact_median(df: DataFrame, column: str, by: Sequence[str], accuracy: int = 10_000) -> DataFrame:
@@ -210,16 +220,18 @@ def activity_stats(
     Users are counted from a table of one row per user and group, which is
     combined before its shuffle, so a very active user is no hot key.
     """
+    kind = df.schema[duration].dataType
     per_user = df.groupBy(*by, user).agg(
         F.count(F.lit(1)).alias("__n"),
-        F.sum(duration).alias("__sum"),
+        exact_sum(F.col(duration), kind).alias("__sum"),
         F.count(duration).alias("__timed"),
     )
-    mean = (F.sum("__sum") / F.sum("__timed")).cast("double")
+    total, timed = F.sum("__sum"), F.sum("__timed")
+    mean = total.cast("double") / timed
     return per_user.groupBy(*by).agg(
         F.sum("__n").alias("n_rows"),
         F.count(user).alias("n_users"),
-        F.round(mean, 4).alias("mean_duration"),
+        rounded_quotient(total, timed).alias("mean_duration"),
         F.coalesce(mean.between(low, high), F.lit(False)).alias("in_target"),
         F.round(F.sum("__n") / F.count(user), 4).alias("events_per_user"),
     )
@@ -254,8 +266,9 @@ def subject_scores(
     many results is one row in it.
     """
     result_key, catalogue_key = course_key
+    kind = results.schema[score].dataType
     per_course = results.groupBy(result_key).agg(
-        F.count(score).alias("__n"), F.sum(score).alias("__sum")
+        F.count(score).alias("__n"), exact_sum(F.col(score), kind).alias("__sum")
     )
     wanted = courses.where(F.col(subject).isin(*subjects)).select(
         F.col(catalogue_key).alias("__course"), subject
@@ -265,6 +278,6 @@ def subject_scores(
         .groupBy(subject)
         .agg(
             F.sum("__n").alias("n_rows"),
-            F.round((F.sum("__sum") / F.sum("__n")).cast("double"), 4).alias("mean"),
+            rounded_quotient(F.sum("__sum"), F.sum("__n")).alias("mean"),
         )
     )

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.functions.exact import exact_sum, rounded_quotient
 from lumbung.operators.checks import domain_rule, row_count_rule
 from lumbung.operators.conform import union_all
 from lumbung.operators.profile import (
@@ -125,15 +126,11 @@ def registration_range(sources: Sources) -> DataFrame:
     return value_range(observations(sources, USERS), "day", [PLATFORM])
 
 
-def _percent_scores(sources: Sources) -> DataFrame:
-    """Scores of all platforms on the scale to 100, with all their digits."""
-    exams = observations(sources, EXAMS, raw="double")
-    scale = _per_code({code: full / 100 for code, full in FULL_MARKS.items()}, 1.0)
-    return exams.withColumn("score", F.col("raw") / scale)
-
-
 def score_report(sources: Sources) -> DataFrame:
-    return score_stats(_percent_scores(sources), "score", [PLATFORM])
+    """Scores of all platforms on the scale to 100: summed as delivered, and divided once."""
+    exams = observations(sources, EXAMS, raw="double")
+    unit = _per_code({code: full / 100 for code, full in FULL_MARKS.items()}, 1.0)
+    return score_stats(exams, "raw", [PLATFORM], unit)
 
 
 def score_histogram(sources: Sources, bins: int = 30) -> DataFrame:
@@ -149,8 +146,9 @@ def rating_counts(sources: Sources) -> DataFrame:
 
 
 def _rating_means(sources: Sources) -> DataFrame:
-    mean = F.round(F.sum("rating") / F.count("rating"), 4)
-    return observations(sources, REVIEWS).groupBy(PLATFORM).agg(mean.alias("mean_rating"))
+    reviews = observations(sources, REVIEWS)
+    total = exact_sum(F.col("rating"), reviews.schema["rating"].dataType)
+    return reviews.groupBy(PLATFORM).agg(rounded_quotient(total, F.count("rating")).alias("mean_rating"))
 
 
 def package_counts(sources: Sources) -> DataFrame:

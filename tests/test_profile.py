@@ -1,10 +1,14 @@
+import math
 import random
 import statistics
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from helpers import frame, plan_of, rows_of
+from pyspark.sql import functions as F
 
+from lumbung.functions.exact import exact_sum, rounded_quotient
 from lumbung.operators.checks import domain_rule, duplicate_keys, orphan_keys, row_count_rule
 from lumbung.operators.profile import (
     activity_stats,
@@ -14,6 +18,7 @@ from lumbung.operators.profile import (
     month_profile,
     pattern_share,
     score_stats,
+    subject_scores,
     table_counts,
     timeline,
     top_values,
@@ -106,3 +111,56 @@ def test_checks(spark):
     parents = frame(spark, "p string", ("ios",), ("web",))
     assert rows_of(orphan_keys(df, "d", parents, "p")) == [("tv", 1)]
     assert rows_of(table_counts({"x": df, "y": parents})) == [("x", 4), ("y", 2)]
+
+
+def _mean(values, unit=1):
+    """Half up at the fourth digit, away from zero, of the decimal numbers as written."""
+    total = sum(map(Fraction, map(repr, values)))
+    steps = abs(total) / len(values) / unit * 10**4
+    return math.copysign((2 * steps + 1) // 2, total) / 10**4
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8, 20])
+def test_means_do_not_depend_on_the_order_of_rows(spark, partitions):
+    rng = random.Random(1)
+    values = {
+        "tie": [53.2999, 53.28] * 3,  # the mean is 53.28995
+        "digits": [rng.uniform(0, 100) for _ in range(3000)],
+        "wide": [rng.choice([1e-9, 1.0, 1e12, -1e12, 0.1]) for _ in range(3000)],
+        "negative": [-0.00005, -0.00015, -0.0001],
+        "zero": [0.0, -0.0, 0.00004],
+    }
+    rows = [(k, v, i % 7) for k, vs in values.items() for i, v in enumerate(vs)] + [("empty", None, 1)]
+    rng.shuffle(rows)
+    df = frame(spark, "s string, x double, u int", *rows).repartition(partitions)
+    got = {r.s: r.mean for r in score_stats(df, "x", ["s"]).collect()}
+    assert got == {k: _mean(vs) for k, vs in values.items()}
+    tenths = {r.s: (r.mean, r.median) for r in score_stats(df, "x", ["s"], F.lit(10.0)).collect()}
+    assert tenths["tie"] == (_mean(values["tie"], 10), 5.329) and tenths["digits"][0] == _mean(values["digits"], 10)
+    stats = {r.s: r.mean_duration for r in activity_stats(df, "x", "u", ["s"], 5, 20).collect()}
+    assert stats == {**got, "empty": None}
+    courses = frame(spark, "c int, t string", *[(u, "math") for u in range(7)])
+    by_subject = subject_scores(df.where("s = 'digits'"), courses, ("u", "c"), "t", ["math"], "x").collect()
+    assert [tuple(r) for r in by_subject] == [("math", 3000, _mean(values["digits"]))]
+
+
+def test_sums_of_other_types_are_exact_too(spark):
+    df = frame(spark, "i bigint, d decimal(10,3), f float", (2**62, Decimal("0.125"), 0.1), (2**62, Decimal("0.250"), 0.2))
+    kinds = {name: df.schema[name].dataType for name in df.columns}
+    row = df.agg(*(exact_sum(F.col(name), kind).alias(name) for name, kind in kinds.items())).first()
+    assert (row.i, row.d, row.f) == (2**63, Decimal("0.375"), Decimal("0.3"))
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), 1e300, 1e-19])
+def test_a_value_beyond_the_guard_is_an_error(spark, value):
+    df = frame(spark, "s string, x double", ("a", 1.0), ("a", value))
+    with pytest.raises(Exception, match="no exact sum"):
+        score_stats(df, "x", ["s"]).collect()
+
+
+def test_quotients_are_rounded_once(spark):
+    cases = [("0.00005", 1, 0.0001), ("0.00004999999999999", 1, 0.0), ("-0.00005", 1, -0.0001), ("1", 3, 0.3333),
+             ("2", 3, 0.6667), ("5", 0, None), (None, 2, None)]
+    df = frame(spark, "t string, n bigint, want double", *cases).withColumn("t", F.col("t").cast("decimal(38,18)"))
+    rows = df.select("want", rounded_quotient(F.col("t"), F.col("n")).alias("got")).collect()
+    assert all(r.got == r.want for r in rows)

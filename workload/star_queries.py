@@ -334,10 +334,12 @@ _ONE_LOAD = {name: _WITH_ENROLMENT_DAYS.get(name, name) for name in [*DIMENSIONS
 
 def _first_of_its_keys(table: str, source: str) -> str:
     """Rows of the first batch, and later ones whose dimension keys it does not have."""
-    id_, keys = FACT_EVENT_IDS[table], _row_text(FACT_DIMENSION_KEYS[table]).format(text="VARCHAR")
-    early = f"md5(substr({id_}, 7)) < '8'"
-    seen = f"SELECT {keys} FROM {source} WHERE {early}"
-    return f"WHERE {early} OR {keys} NOT IN ({seen})"
+    early = f"md5(substr({FACT_EVENT_IDS[table]}, 7)) < '8'"
+    keys = _row_text(FACT_DIMENSION_KEYS[table]).format(text="VARCHAR")
+    first = _rows_sql(table, source, f"WHERE {early}")
+    later = f"(SELECT *, {keys} AS key_text FROM {source} WHERE ({early}) IS NOT TRUE)"
+    seen = f"(SELECT DISTINCT {keys} AS key_text FROM {source} WHERE {early})"
+    return f"{first} UNION ALL {_rows_sql(table, f'{later} ANTI JOIN {seen} USING (key_text)')}"
 
 
 def _two_batches(spark: SparkSession, sf_dir: str, fact_key: str) -> DataFrame:
@@ -381,7 +383,7 @@ def pipeline_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     "pipeline_dimension_keys",
     statement(
         " UNION ALL ".join(
-            _rows_sql(n, s, _first_of_its_keys(n, s) if n in FACTS else "") for n, s in _ONE_LOAD.items()
+            _first_of_its_keys(n, s) if n in FACTS else _rows_sql(n, s) for n, s in _ONE_LOAD.items()
         )
     ),
 )
