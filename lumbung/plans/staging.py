@@ -20,6 +20,7 @@ from lumbung.operators.gate import (
     quality_gate,
     reject_report,
     required,
+    tag_rejects,
     within,
 )
 from lumbung.operators.lookup import lookup, salted_lookup
@@ -205,11 +206,15 @@ def build_events(
     users: DataFrame,
     courses: DataFrame,
     options: StagingOptions = StagingOptions(),
+    held: DataFrame | None = None,
 ) -> DataFrame:
-    """Project, union, resolve, gate, and keep one row per event id."""
+    """Project, union, resolve, gate, and keep one row per event id.
+
+    ``held`` are rows that an earlier batch delivered and the gate has kept back; they are tried again.
+    """
     table = EVENT_TABLES[name]
     rows = resolve_events(
-        raw_events(table, sources, options),
+        with_held(raw_events(table, sources, options), held, table),
         users,
         courses if table.has_course else None,
         hot_keys=options.hot_keys,
@@ -219,6 +224,59 @@ def build_events(
     return dedup_by_key(accepted.select(*_names(name)), [table.id])
 
 
+def with_held(delivered: DataFrame, held: DataFrame | None, table: EventTable) -> DataFrame:
+    """The delivered rows, and the held ones that are not delivered again."""
+    if held is None:
+        return delivered
+    again = delivered.select(F.col(table.id).alias("__id")).distinct()
+    rest = held.join(again, F.col(table.id) == F.col("__id"), "left_anti")
+    return delivered.unionByName(rest.select(*delivered.columns))
+
+
+def held_events(
+    name: str,
+    sources: Sources,
+    users: DataFrame,
+    courses: DataFrame,
+    batch_id: str,
+    options: StagingOptions = StagingOptions(),
+    held: DataFrame | None = None,
+) -> DataFrame:
+    """Q9: the rows of one table that the gate rejects, as delivered, with the reason and the first batch.
+
+    An event is held once, by its id, the least of its rows.  Rows without an id are shown
+    for the batch that delivers them and not tried again.
+    """
+    table = EVENT_TABLES[name]
+    delivered = raw_events(table, sources, options)
+    columns = delivered.columns
+    if held is not None:
+        held = held.where(F.col(table.id).isNotNull())
+    rows = resolve_events(
+        with_held(delivered, held, table),
+        users,
+        courses if table.has_course else None,
+        how="left",
+        hot_keys=options.hot_keys,
+        salts=options.salts,
+    )
+    tagged = tag_rejects(rows, event_rules(table, options))
+    # an id that one of its rows brings through the gate is not held
+    passed = tagged.where("reject_reason IS NULL").select(F.col(table.id).alias("__id")).distinct()
+    rejected = tagged.where("reject_reason IS NOT NULL").select(*columns, "reject_reason")
+    rejected = rejected.join(passed, F.col(table.id) == F.col("__id"), "left_anti")
+    named = dedup_by_key(rejected.where(F.col(table.id).isNotNull()), [table.id])
+    rejected = named.unionByName(rejected.where(F.col(table.id).isNull()))
+    if held is None:
+        return rejected.withColumn("first_batch", F.lit(batch_id))
+    since = held.select(F.col(table.id).alias("__id"), F.col("first_batch").alias("__first"))
+    return (
+        rejected.join(since, F.col(table.id) == F.col("__id"), "left")
+        .withColumn("first_batch", F.coalesce("__first", F.lit(batch_id)))
+        .drop("__id", "__first")
+    )
+
+
 def rejected_events(
     name: str,
     sources: Sources,
@@ -265,6 +323,7 @@ def build_all_events(
     references: Mapping[str, DataFrame],
     options: StagingOptions = StagingOptions(),
     names: Iterable[str] = tuple(EVENT_TABLES),
+    held: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """T5-T9, lazily.
 
@@ -273,7 +332,8 @@ def build_all_events(
     """
     users = references["peta_pengguna_lintas_platform"]
     courses = references["peta_kelas_lintas_platform"]
-    return {name: build_events(name, sources, users, courses, options) for name in names}
+    held = held or {}
+    return {name: build_events(name, sources, users, courses, options, held.get(name)) for name in names}
 
 
 def build_staging(

@@ -5,14 +5,29 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lumbung.operators.dedup import dedup_by_key
+from lumbung.operators.key_index import (
+    BATCH,
+    batches_in_range,
+    batches_with_keys,
+    key_bloom,
+    key_hash,
+    key_zones,
+    word_count,
+)
 from lumbung.operators.load import audit_columns, new_rows
-from lumbung.sources.paths import child_names, delete_at_end, path_exists
+from lumbung.sources.paths import child_names, delete, delete_at_end, path_exists
 from lumbung.sources.readers import conform_schema
+from lumbung.sources.versions import VersionLog
+
+#: the one part of a table that is replaced as a whole
+WHOLE = ""
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -42,25 +57,103 @@ class LoadResult:
         return None if self.n_in is None else self.n_in - self.n_new
 
 
+@dataclass(frozen=True)
+class KeySummaries:
+    """The key summaries of a table's batches or parts (see ``key_index``), below one folder."""
+
+    spark: SparkSession
+    folder: str
+
+    def _path(self, kind: str, name: str) -> str:
+        return f"{self.folder}/{kind}/{BATCH}={name}"
+
+    def names(self) -> set[str]:
+        """What has a whole summary: its zones are written last."""
+        root = f"{self.folder}/zones"
+        if not path_exists(self.spark, root):
+            return set()
+        names = [n for n in child_names(self.spark, root) if n.startswith(f"{BATCH}=")]
+        return {n.removeprefix(f"{BATCH}=") for n in names if path_exists(self.spark, f"{root}/{n}/_SUCCESS")}
+
+    def add(self, name: str, rows: DataFrame, keys: Sequence[str]) -> None:
+        """``rows`` is a written table; its keys are read twice."""
+        n_rows = rows.count()  # from the file footers
+        key_bloom(rows, keys, n_rows).write.mode("overwrite").parquet(self._path("bloom", name))
+        zones = key_zones(rows, keys).withColumn("words", F.lit(word_count(n_rows)).cast("long"))
+        zones.write.mode("overwrite").parquet(self._path("zones", name))
+
+    def forget(self, name: str) -> None:
+        for kind in ("zones", "bloom"):
+            delete(self.spark, self._path(kind, name))
+
+    def keep(self, names: set[str]) -> None:
+        for name in self.names() - names:
+            self.forget(name)
+
+    def _read(self, kind: str, names: Sequence[str]) -> DataFrame:
+        paths = [self._path(kind, name) for name in names]
+        rows = self.spark.read.option("basePath", f"{self.folder}/{kind}").parquet(*paths)
+        return rows.withColumn(BATCH, F.col(BATCH).cast("string"))
+
+    def candidates(self, rows: DataFrame, keys: Sequence[str], names: set[str]) -> set[str]:
+        """Which of ``names`` may hold a key of ``rows``; what has no summary may."""
+        known = sorted(names & self.names())
+        if not known:
+            return set(names)
+        mine = key_zones(rows.select(*keys), keys)
+        zones = self._read("zones", known)
+        near = {r[0] for r in batches_in_range(zones, mine).collect()}  # at most the batches' names
+        if near:
+            sizes = [r[0] for r in zones.where(F.col(BATCH).isin(*near)).select("words").distinct().collect()]
+            bloom = self._read("bloom", sorted(near))
+            near = {r[0] for r in batches_with_keys(bloom, rows.select(*keys), keys, sizes).collect()}
+        return near | (set(names) - set(known))
+
+
 @dataclass(frozen=True)
 class ParquetStore:
     """Tables as Parquet folders below ``root``.
 
     A batch is one partition of an appended table.  Loading the same batch
     again replaces that partition, so a load that failed half-way can simply be
-    repeated.
+    repeated.  A table that is replaced as a whole has versions (see
+    ``VersionLog``): it stays readable while and after a load of it fails.
     """
 
     spark: SparkSession
     root: str
 
-    def path(self, table: str) -> str:
+    def _folder(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def versions(self, table: str) -> VersionLog:
+        return VersionLog(self.spark, self._folder(table))
+
+    def path(self, table: str) -> str:
+        """Where the table's files are now; a replaced table has another folder after each commit."""
+        commit = self.versions(table).current()
+        if commit is None:
+            return self._folder(table)
+        if set(commit.parts) != {WHOLE}:
+            raise ValueError(f"{table} has several parts")
+        return self.versions(table).folder(commit.parts[WHOLE])
+
+    def version(self, table: str) -> str:
+        """What names the present rows of a replaced table; empty where there are none."""
+        commit = self.versions(table).current()
+        return "" if commit is None else ",".join(sorted(commit.parts.values()))
+
     def exists(self, table: str) -> bool:
-        return path_exists(self.spark, self.path(table))
+        """A folder in which nothing was committed, only begun, is no table."""
+        if not path_exists(self.spark, self._folder(table)):
+            return False
+        if self.versions(table).current() is not None:
+            return True
+        names = child_names(self.spark, self._folder(table))
+        return "_versions" not in names or any(not name.startswith(("_", ".")) for name in names)
 
     def read(self, table: str) -> DataFrame:
+        """The rows of this moment: later commits do not change the frame."""
         return self.spark.read.parquet(self.path(table))
 
     def read_existing(self, table: str, schema: str, by_month: bool = False) -> DataFrame | None:
@@ -74,30 +167,35 @@ class ParquetStore:
         declared = f"{schema}, etl_loaded_at timestamp, etl_batch_id string"
         if by_month:
             declared += ", etl_month string"
-        return self.spark.read.schema(declared).parquet(self.path(table))
+        return self.spark.read.schema(declared).parquet(self._folder(table))
 
     def batch_ids(self, table: str) -> list[str]:
         """The batches an appended table consists of, by the names of its partitions."""
         if not self.exists(table):
             return []
         prefix = "etl_batch_id="
-        names = child_names(self.spark, self.path(table))
+        names = child_names(self.spark, self._folder(table))
         return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
-        """L1: overwrite, and give back the table as written.
+        """L1: replace the table, and give back the rows as written.
 
         The frame read back has a short lineage and file statistics, from which
-        the optimizer sees whether it is small enough to broadcast.
+        the optimizer sees whether it is small enough to broadcast.  ``df`` may
+        read the version that it replaces.
         """
-        df.write.mode("overwrite").parquet(self.path(table))
-        return self.read(table)
+        log = self.versions(table)
+        before, name = log.current(), log.new_folder()
+        df.write.parquet(log.folder(name))
+        log.commit({WHOLE: name}, before)
+        return self.spark.read.parquet(log.folder(name))
 
     def snapshot(self, table: str, df: DataFrame, batch_id: str, schema: str) -> LoadResult:
         """The table is what this batch says."""
+        counted = Observation()
         rows = audit_columns(conform_schema(df, schema), batch_id)
-        rows.write.mode("overwrite").parquet(self.path(table))
-        n_rows = self.read(table).count()
+        self.write(table, rows.observe(counted, F.count(F.lit(1)).alias("n")))
+        n_rows = counted.get["n"]  # counted on the way to the files
         return LoadResult(table, n_rows, n_rows)
 
     def append_new(
@@ -111,9 +209,14 @@ class ParquetStore:
         null_safe: bool = False,
         count_input: bool = True,
         month_of: str | None = None,
+        key_index: bool = False,
     ) -> LoadResult:
         """Append the rows whose key no earlier batch has loaded.
 
+        With ``key_index`` a summary of the batch's keys is stored beside it, and only those
+        earlier batches are read that may hold a key of this one: by their summaries, and
+        all that have none.
+
         ``df`` should be a written table, as in the pipeline: counting it for the
         metrics then reads file footers only.  ``count_input=False`` leaves the
         count out for a frame that would have to be computed again.
@@ -129,6 +232,9 @@ class ParquetStore:
         existing = self.read_existing(table, schema, by_month=month_of is not None)
         if existing is not None:
             existing = existing.where(F.col("etl_batch_id") != batch_id)
+            if key_index:
+                chosen = self.key_summaries(table).candidates(incoming, keys, set(self.batch_ids(table)) - {batch_id})
+                existing = existing.where(F.col("etl_batch_id").isin(*chosen))
         if month_of is not None:
             incoming = incoming.withColumn("etl_month", _month(month_of))
             if existing is not None:
@@ -137,18 +243,111 @@ class ParquetStore:
                 existing = existing.where(F.col("etl_month").isin(*months))
         fresh = audit_columns(new_rows(incoming, existing, keys, null_safe=null_safe), batch_id)
         # the batch's own folder is replaced even where it gets no row
-        fresh = fresh.drop("etl_batch_id")
+        counted = Observation()
+        fresh = fresh.drop("etl_batch_id").observe(counted, F.count(F.lit(1)).alias("n"))
         if month_of is None:
             writer = fresh.write.mode("overwrite")
         else:  # few files a month, and a large month in several
             writer = fresh.hint("rebalance", "etl_month").write.mode("overwrite").partitionBy("etl_month")
+        self.key_summaries(table).forget(batch_id)  # of the rows that are replaced now
         writer.parquet(self.batch_path(table, batch_id))
-        written = self.read_existing(table, schema, by_month=month_of is not None)
-        n_new = written.where(F.col("etl_batch_id") == batch_id).count()  # from the file footers
+        if key_index:
+            own = self.read_existing(table, schema, by_month=month_of is not None)
+            self.key_summaries(table).add(batch_id, own.where(F.col("etl_batch_id") == batch_id), keys)
+        return LoadResult(table, df.count() if count_input else None, counted.get["n"])
+
+    def key_summaries(self, table: str) -> KeySummaries:
+        return KeySummaries(self.spark, f"{self._folder(table)}/_keys")
+
+    def read_parts(self, table: str) -> DataFrame:
+        """The rows of a table kept by ``load_latest``."""
+        log = self.versions(table)
+        return self.spark.read.parquet(*(log.folder(name) for name in sorted(log.current().parts.values())))
+
+    def load_latest(
+        self, table: str, df: DataFrame, keys: Sequence[str], batch_id: str, schema: str, *, count_input: bool = True
+    ) -> LoadResult:
+        """L5 with updates: the newest row of each key, by the time of its load.
+
+        A part of the table is a batch's rows.  A row whose key is there with other values
+        replaces the old one: only the parts that hold such a key are written again, without
+        it, and the new row goes to this batch's part.  A row that is there as it is stays in
+        its batch.  All changes become the table with one commit, so a failed or repeated load
+        leaves no key twice.  Of rows with one key in a batch the least one counts.
+
+        The parts that may hold a key are found by their summaries, as in ``append_new``.
+        """
+        log = self.versions(table)
+        before = log.current()
+        parts = dict(before.parts) if before else {}
+        summaries = self.key_summaries(table)
+        incoming = dedup_by_key(conform_schema(df, schema), keys)
+        chosen = sorted(summaries.candidates(incoming, keys, set(parts.values())))
+        changed, touched = None, []
+        if chosen:
+            history = self._parts_with_name(log, chosen)
+            own = key_hash(StructType.fromDDL(schema).fieldNames())  # of all values
+            old = history.select(*keys, own.alias("__old"), "__part")
+            state = incoming.withColumn("__new", own).join(old, list(keys), "left")
+            name = log.new_folder()
+            # written, since the parts to write again depend on it
+            fresh = state.where("__old IS NULL OR __old <> __new")
+            fresh.write.parquet(log.folder(name))
+            changed = self.spark.read.parquet(log.folder(name))
+            touched = [r[0] for r in changed.select("__part").where("__part IS NOT NULL").distinct().collect()]
+            incoming = changed.drop("__new", "__old", "__part")
+        for part, folder in list(parts.items()):
+            if folder in touched:
+                gone = changed.where(F.col("__part") == folder).select(*keys)
+                rows = self.spark.read.parquet(log.folder(folder)).join(gone, list(keys), "left_anti")
+                parts[part] = self._write_part(log, rows, keys, summaries)
+        counted = Observation()
+        rows = audit_columns(incoming, batch_id).observe(counted, F.count(F.lit(1)).alias("n"))
+        folder = log.new_folder()
+        rows.write.parquet(log.folder(folder))
+        n_new = counted.get["n"]
+        if n_new and batch_id in parts:  # a repeated load adds to its own part
+            both = self.spark.read.parquet(log.folder(parts[batch_id]), log.folder(folder))
+            parts[batch_id] = self._write_part(log, both, keys, summaries)
+        elif n_new:
+            parts[batch_id] = folder
+            summaries.add(folder, self.spark.read.parquet(log.folder(folder)), keys)
+        if before is None or parts != dict(before.parts):
+            log.commit(parts or {batch_id: folder}, before)
+            summaries.keep(set(parts.values()) | set(before.parts.values() if before else ()))
         return LoadResult(table, df.count() if count_input else None, n_new)
 
+    def _parts_with_name(self, log: VersionLog, folders: Sequence[str]) -> DataFrame:
+        return reduce(
+            DataFrame.unionByName,
+            (self.spark.read.parquet(log.folder(f)).withColumn("__part", F.lit(f)) for f in folders),
+        )
+
+    def _write_part(self, log: VersionLog, rows: DataFrame, keys: Sequence[str], summaries: KeySummaries) -> str:
+        folder = log.new_folder()
+        rows.write.parquet(log.folder(folder))
+        summaries.add(folder, self.spark.read.parquet(log.folder(folder)), keys)
+        return folder
+
+    def repeated_keys(self, table: str, keys: Sequence[str], batch_id: str, schema: str) -> DataFrame:
+        """Q16 for one batch of an appended table: its keys that the table has more than once, with their number.
+
+        Earlier batches without a key of the batch, by their summaries, are not read.
+        """
+        rows = self.read_existing(table, schema)
+        batch = rows.where(F.col("etl_batch_id") == batch_id).select(*keys)
+        others = set(self.batch_ids(table)) - {batch_id}
+        chosen = self.key_summaries(table).candidates(batch, keys, others)
+        some = rows.where(F.col("etl_batch_id").isin(batch_id, *chosen)).select(*keys)
+        return (
+            some.join(batch.distinct(), list(keys), "left_semi")
+            .groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .where("n_rows > 1")
+        )
+
     def batch_path(self, table: str, batch_id: str) -> str:
-        return f"{self.path(table)}/etl_batch_id={batch_id}"
+        return f"{self._folder(table)}/etl_batch_id={batch_id}"
 
 
 def _month(column: str) -> Column:

@@ -798,3 +798,71 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(result.table, result.n_in, result.n_new, result.n_skipped)],
         "table_name string, n_in bigint, n_new bigint, n_skipped bigint",
     )
+
+
+# ---- loads that read and rewrite only what a batch touches
+
+
+def _quarters(orders: DataFrame) -> dict[str, DataFrame]:
+    """The orders by key range, as a source delivers them over time; the last batch is late rows of all ranges."""
+    late = F.col("o_orderkey") % 7 == 0
+    ordinary = {f"B{n}": orders.where(~late & (F.floor(F.col("o_orderkey") / 1000) % 4 == n)) for n in range(4)}
+    return {**ordinary, "B4": orders}
+
+
+@query("append_indexed", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def append_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L5 with key summaries: five batches, of which the last has all rows again, and one without a summary."""
+    store = ParquetStore(spark, shared_folder(spark, "indexed"))
+    for batch, rows in _quarters(table(spark, sf_dir, "orders")).items():
+        store.append_new("orders", rows, ["o_orderkey"], batch, ORDER_SCHEMA, key_index=batch != "B2")
+    return store.read("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query(
+    "append_latest",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN 'B2'"
+    " WHEN o_orderstatus = 'F' THEN 'B1' ELSE 'B2' END AS etl_batch_id FROM orders",
+)
+def append_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L5 with updates: some orders are open in the first batch and closed in the second one."""
+    orders = table(spark, sf_dir, "orders")
+    state = F.when(F.col("o_orderkey") % 7 == 0, F.lit("?")).otherwise(F.col("o_orderstatus"))
+    store = ParquetStore(spark, shared_folder(spark, "latest"))
+    first = orders.where("o_orderstatus = 'F'").withColumn("o_orderstatus", state)
+    store.load_latest("orders", first, ["o_orderkey"], "B1", ORDER_SCHEMA)
+    store.load_latest("orders", orders, ["o_orderkey"], "B2", ORDER_SCHEMA)
+    return store.read_parts("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "etl_batch_id")
+
+
+@query(
+    "repeated_keys_of_batch",
+    "SELECT o_custkey, count(*) AS n_rows FROM orders WHERE o_custkey IN"
+    " (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'F') GROUP BY ALL HAVING count(*) > 1",
+)
+def repeated_keys_of_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q16 for a new batch: its customers with several orders, read from the batches that may hold them."""
+    orders = table(spark, sf_dir, "orders")
+    store = ParquetStore(spark, shared_folder(spark, "repeated"))
+    for batch, test in (("B1", "o_orderstatus = 'F'"), ("B2", "o_orderstatus <> 'F'")):
+        store.append_new("orders", orders.where(test), ["o_orderkey"], batch, ORDER_SCHEMA)
+        own = store.read_existing("orders", ORDER_SCHEMA).where(F.col("etl_batch_id") == batch)
+        store.key_summaries("orders").add(batch, own, ["o_custkey"])
+    return store.repeated_keys("orders", ["o_custkey"], "B2", ORDER_SCHEMA)
+
+
+@query("snapshot_after_failure", "SELECT c_custkey, c_name FROM customer WHERE c_nationkey < 5")
+def snapshot_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that fails after some of its files are written leaves the table as it was."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    store, schema = ParquetStore(spark, shared_folder(spark, "failing")), "c_custkey bigint, c_name string"
+    store.snapshot("customer", customers.where("c_nationkey < 5"), "B1", schema)
+    failing = customers.withColumn(
+        "c_name", F.when(F.col("c_custkey") == 1, F.raise_error(F.lit("planned")).cast("string")).otherwise(F.col("c_name"))
+    )
+    try:
+        store.snapshot("customer", failing, "B2", schema)
+    except Exception as error:
+        if "planned" not in str(error):
+            raise
+    return store.read("customer").select("c_custkey", "c_name")

@@ -32,8 +32,10 @@ from lumbung.plans.staging import (
     StagingOptions,
     bridge_keys,
     build_all_events,
+    build_events,
     build_references,
     course_bridge,
+    held_events,
     rejected_events,
     user_bridge,
 )
@@ -137,6 +139,21 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("quarantine_replay", statement("SELECT id_hasil, id_pengguna_global, id_kelas_global FROM olah_hasil_latihan"))
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9: half of the users come a batch after their results; the held results are admitted then, once each."""
+    name, sources = "olah_hasil_latihan", derived_sources(spark, sf_dir)
+    store = ParquetStore(spark, shared_folder(spark, "quarantine"))
+    written = write_all(store, {"users": user_bridge(sources), "courses": course_bridge(sources)})
+    users, courses = written["users"], written["courses"]
+    known = users.where(F.md5("email_hash") < "8")
+    store.write("held", held_events(name, sources, known, courses, BATCHES[0], STAGING_OPTIONS))
+    first = store.write("first", build_events(name, sources, known, courses, STAGING_OPTIONS))
+    nothing = {code: {t: df.where("false") for t, df in tables.items()} for code, tables in sources.items()}
+    late = build_events(name, nothing, users, courses, STAGING_OPTIONS, store.read("held"))
+    return first.unionByName(late).select("id_hasil", "id_pengguna_global", "id_kelas_global")
+
+
 # ---- D1-D9
 
 
