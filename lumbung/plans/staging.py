@@ -244,8 +244,9 @@ def held_events(
 ) -> DataFrame:
     """Q9: the rows of one table that the gate rejects, as delivered, with the reason and the first batch.
 
-    An event is held once, by its id, the least of its rows.  Rows without an id are shown
-    for the batch that delivers them and not tried again.
+    All different rows of an event are held, since any of them may pass later; they leave
+    together once one has passed.  Rows without an id are shown for the batch that delivers
+    them and not tried again.
     """
     table = EVENT_TABLES[name]
     delivered = raw_events(table, sources, options)
@@ -265,11 +266,10 @@ def held_events(
     passed = tagged.where("reject_reason IS NULL").select(F.col(table.id).alias("__id")).distinct()
     rejected = tagged.where("reject_reason IS NOT NULL").select(*columns, "reject_reason")
     rejected = rejected.join(passed, F.col(table.id) == F.col("__id"), "left_anti")
-    named = dedup_by_key(rejected.where(F.col(table.id).isNotNull()), [table.id])
-    rejected = named.unionByName(rejected.where(F.col(table.id).isNull()))
+    rejected = rejected.distinct()
     if held is None:
         return rejected.withColumn("first_batch", F.lit(batch_id))
-    since = held.select(F.col(table.id).alias("__id"), F.col("first_batch").alias("__first"))
+    since = held.groupBy(F.col(table.id).alias("__id")).agg(F.min("first_batch").alias("__first"))
     return (
         rejected.join(since, F.col(table.id) == F.col("__id"), "left")
         .withColumn("first_batch", F.coalesce("__first", F.lit(batch_id)))

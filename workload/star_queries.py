@@ -139,7 +139,7 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("quarantine_replay", statement("SELECT id_hasil, id_pengguna_global, id_kelas_global FROM olah_hasil_latihan"))
+@query("quarantine_replay", statement("SELECT id_hasil FROM olah_hasil_latihan"))
 def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9: half of the users come a batch after their results; the held results are admitted then, once each."""
     name, sources = "olah_hasil_latihan", derived_sources(spark, sf_dir)
@@ -151,7 +151,7 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = store.write("first", build_events(name, sources, known, courses, STAGING_OPTIONS))
     nothing = {code: {t: df.where("false") for t, df in tables.items()} for code, tables in sources.items()}
     late = build_events(name, nothing, users, courses, STAGING_OPTIONS, store.read("held"))
-    return first.unionByName(late).select("id_hasil", "id_pengguna_global", "id_kelas_global")
+    return first.unionByName(late).select("id_hasil")
 
 
 # ---- D1-D9
