@@ -41,6 +41,14 @@ def shared_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or shared_folder(spark, "checkpoints"))
 
 
+def unused_name(df: DataFrame, stem: str) -> str:
+    """A column name that the frame does not have, in any letter case."""
+    taken = {name.lower() for name in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder; a lost executor takes nothing with it."""
     shared_checkpoints(df.sparkSession)

@@ -190,27 +190,27 @@ def in_training_order(mix: DataFrame, position: str = "position") -> DataFrame:
 def mixed_documents(docs: DataFrame, curriculum: Sequence[Schedule] = CURRICULUM) -> DataFrame:
     """The rows of ``docs``, all columns, once for each whole copy that the mix takes."""
     mix = mixed(docs, curriculum, whole_documents=True)
+
+    def marked(column: Column) -> Column:  # NULL is a source of its own
+        return F.coalesce(F.concat(F.lit("+"), column), F.lit("-"))
+
     # equal rows have equal places in the order only up to their number, so they are joined by number
-    same = Window.partitionBy("__at", "__id").orderBy("__at")
-    keyed = docs.withColumns(
-        {
-            "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-            "__at": F.md5(
-                F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
-            ),
-        }
-    ).withColumn("__n", F.row_number().over(same))
+    keys = ["at", "id", "of"]
+    same = Window.partitionBy(*keys).orderBy("at")
+    id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    keyed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),  # no name of theirs can clash
+        F.md5(F.concat_ws("|", id_, F.coalesce("text", F.lit("")))).alias("at"),
+        id_.alias("id"),
+        marked(F.col("source")).alias("of"),
+    ).withColumn("n", F.row_number().over(same))
     counts = (
         mix.where("taken > 0")
-        .select(
-            F.col("at").alias("__at"),
-            F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"),
-            F.size("positions").alias("__copies"),
-        )
-        .withColumn("__n", F.row_number().over(same))
+        .select("at", id_.alias("id"), marked(F.col("source")).alias("of"), F.size("positions").alias("copies"))
+        .withColumn("n", F.row_number().over(same))
     )
     return (
-        keyed.join(counts, ["__at", "__id", "__n"])
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
+        keyed.join(counts, [*keys, "n"])
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select("row.*")
     )

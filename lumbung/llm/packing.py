@@ -2,9 +2,15 @@
 
 Several sequence lengths are permitted, each with a cost.  Pieces are taken from
 the longest to the shortest: each goes to the open bin with the least room that
-holds it (the earliest of several), and where none does, a new bin is opened, of the length with the least cost per token
-among those that hold the piece.  At the end every bin is downsized to the
-cheapest permitted length that holds its contents.
+holds it (the earliest of several), and where none does, a new bin is opened.  At the
+end every bin is downsized to the cheapest permitted length that holds its contents.
+
+Which length is best to open depends on what comes after the piece, not on the piece
+alone.  So the corpus is packed once for each permitted length as the preferred one (a
+piece that does not fit it opens the next one that holds it) and once by the least cost
+per token, and the packing with the least total cost is taken.  Opening only the longest
+length, and always the shortest that fits, are among them, so the total is not above
+either.  This is cheap, as it is done on counts:
 
 Pieces of one length are interchangeable, so what a piece-by-piece best fit does
 follows from the counts of pieces by length alone: bins with the same room are
@@ -39,16 +45,16 @@ from lumbung.llm.cluster import cut
 class Bin:
     """A permitted sequence length and what one sequence of it costs.
 
-    The default cost is the length plus a charge for each sequence, so a longer
-    sequence is cheaper for each token it can hold.
+    The default cost is a charge for each sequence, one for each token and one for each
+    pair of tokens, as attention has it: charge and pairs pull towards other lengths.
     """
 
     length: int
     cost: float
 
 
-def bins_of(lengths: Sequence[int], charge: float = 64.0) -> list[Bin]:
-    return [Bin(length, length + charge) for length in sorted(set(lengths))]
+def bins_of(lengths: Sequence[int], charge: float = 64.0, pairs: float = 1 / 8192) -> list[Bin]:
+    return [Bin(length, length + charge + pairs * length * length) for length in sorted(set(lengths))]
 
 
 @dataclass(frozen=True)
@@ -64,10 +70,28 @@ class Runs:
     groups: np.ndarray  # first bin of every group of equal bins
     capacity: np.ndarray  # of the bins of the group, after downsizing
     content: np.ndarray  # tokens in each bin of the group
+    bin_count: int
+
+
+def total_cost(runs: Runs, bins: Sequence[Bin]) -> float:
+    """The cost of all bins after downsizing."""
+    cost = {b.length: b.cost for b in bins}
+    ends = np.append(runs.groups[1:], runs.bin_count)
+    return float(sum(n * cost[c] for n, c in zip((ends - runs.groups).tolist(), runs.capacity.tolist())))
+
 
+def best_packing(counts: dict[int, int], bins: Sequence[Bin]) -> Runs:
+    """The cheapest of the packings that open another length each; the shortest preferred length of equal ones."""
+    tried = [pack_histogram(counts, bins, prefer) for prefer in (*sorted(b.length for b in bins), None)]
+    return min(tried, key=lambda runs: total_cost(runs, bins))
 
-def pack_histogram(counts: dict[int, int], bins: Sequence[Bin]) -> Runs:
-    """Best fit decreasing of ``counts`` (pieces by length), as it would be piece by piece."""
+
+def pack_histogram(counts: dict[int, int], bins: Sequence[Bin], prefer: int | None = None) -> Runs:
+    """Best fit decreasing of ``counts`` (pieces by length), as it would be piece by piece.
+
+    A new bin has the shortest length from ``prefer`` on that holds the piece, without
+    ``prefer`` the one with the least cost per token.
+    """
     longest = max(b.length for b in bins)
     open_rooms: list[int] = []  # rooms that some open bin has, ascending
     groups: dict[int, list[tuple[int, int, int]]] = {}  # room: (first bin, bins, content)
@@ -108,7 +132,11 @@ def pack_histogram(counts: dict[int, int], bins: Sequence[Bin]) -> Runs:
                 if not groups[room]:
                     del groups[room], open_rooms[at]
             else:
-                kind = min((b for b in bins if b.length >= size), key=lambda b: (b.cost / b.length, b.length))
+                fitting = [b for b in bins if b.length >= size]
+                if prefer is None:
+                    kind = min(fitting, key=lambda b: (b.cost / b.length, b.length))
+                else:
+                    kind = min((b for b in fitting if b.length >= prefer), key=lambda b: b.length)
                 room, opened = kind.length, -(-left // (kind.length // size))
                 group = (next_bin, opened, 0)
                 next_bin += opened
@@ -120,7 +148,7 @@ def pack_histogram(counts: dict[int, int], bins: Sequence[Bin]) -> Runs:
             closed.append((begin, kind.length, content))
     columns = np.array(sorted(runs), np.int64).reshape(-1, 6).T
     ends = np.array(sorted(closed), np.int64).reshape(-1, 3).T
-    return Runs(*columns, *ends)
+    return Runs(*columns, *ends, next_bin)
 
 
 def pieces_of(docs: DataFrame, longest: int) -> DataFrame:
@@ -152,7 +180,7 @@ def packed(docs: DataFrame, bins: Sequence[Bin]) -> DataFrame:
     histogram = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()  # a row for each length
     # bounded by the lengths: a bin has few different lengths, and a length splits few groups
     shared = docs.sparkSession.sparkContext.broadcast(
-        pack_histogram({row["length"]: row["n"] for row in histogram}, bins)
+        best_packing({row["length"]: row["n"] for row in histogram}, bins)
     )
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = counts.withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")

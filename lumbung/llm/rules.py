@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.llm.cluster import unused_name
 from lumbung.llm.labelled import sampled_texts
 from lumbung.llm.spans import BLANK, Run, column_bytes, mix, owners, slices, span_hashes, sums_by
 
@@ -299,4 +300,5 @@ def judged(docs: DataFrame, rules: DecisionList, column: str = "__quality") -> D
 
 def passing(docs: DataFrame, rules: DecisionList) -> DataFrame:
     """The rows of ``docs``, all columns, that pass the base limits and no rule rejects."""
-    return judged(docs, rules).where("__quality.kept").drop("__quality")
+    name = unused_name(docs, "quality_found")
+    return judged(docs, rules, name).where(f"{name}.kept").drop(name)

@@ -244,7 +244,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     order = F.struct(nameless.alias("nameless"), "doc_id", F.when(nameless, F.col("fp")).alias("fp"), "high", "low")
     first = prints.groupBy("fp").agg(F.min(order).alias("first"))
     kept = _rooted(first, distance).groupBy("root").agg(F.min("first").alias("first"))
-    rows = docs.select(F.struct(*names).alias("row"), high.alias("high"), low.alias("low"))
+    rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in names)).alias("row"), high.alias("high"), low.alias("low"))
     # equal rows: one of each task is left before the shuffle
     once = Window.partitionBy("high", "low").orderBy("high")
     rows = rows.withColumn("n", F.row_number().over(once)).where("n = 1")

@@ -3,11 +3,12 @@
 from collections import Counter
 
 from llm.conftest import SF, words_of
-from llm.test_packing import piece_by_piece
+from llm.test_packing import cheapest
 from llm.test_rules import by_hand as statistics_by_hand
 from llm.test_simhash import fingerprint_by_hand, groups_by_hand
 
 import corpus_pipeline as p
+from lumbung.llm.mixing import mixed, mixed_documents
 from lumbung.llm.packing import bins_of
 from lumbung.llm.queries import LENGTHS
 
@@ -58,7 +59,7 @@ def test_stages_and_run(spark, documents, folder):
     pieces = [min(LENGTHS[-1], n - k) for n in words for k in range(0, n, LENGTHS[-1])]
     frame = packed.toPandas()
     bins = frame.groupby("bin_id").agg(capacity=("capacity", "first"), content=("length", "sum"))
-    assert sorted(zip(bins.capacity, bins.content)) == piece_by_piece(pieces, bins_of(LENGTHS))
+    assert sorted(zip(bins.capacity, bins.content)) == cheapest(pieces, bins_of(LENGTHS))
 
     again = p.run(spark, SF).toPandas()
     order = ["doc_id", "piece", "bin_id", "place"]
@@ -71,3 +72,26 @@ def test_hard_and_empty_tables(spark, hard_documents, no_documents, hard_labels,
     found = stages(spark, hard_documents, f"{folder}/sf", f"{folder}/hard")
     assert found[1].where("text is null").count() == 0 and found[-1].count() > 0
     assert stages(spark, no_documents, f"{folder}/sf", f"{folder}/none")[-1].collect() == []
+
+
+CLASHING = ["language_found", "Quality_Found", "__language", "__quality", "__at", "__id", "__n", "__copy", "at", "id", "of",
+            "n", "copy", "copies", "row", "high", "low", "fp", "root", "a.b"]
+
+
+def test_columns_of_the_caller_stay_as_they_are(spark, documents, folder):
+    docs = documents.where("doc_id % 2 = 0").withColumns({name: documents["doc_id"] + k for k, name in enumerate(CLASHING)})
+    given = {r.doc_id: r for r in docs.collect()}
+    for df in stages(spark, docs, SF, folder)[1:-1]:
+        assert df.columns == docs.columns
+        rows = df.collect()
+        assert rows and all(row == given[row.doc_id] for row in rows)
+
+
+def test_equal_texts_of_two_sources_keep_their_own_copies(spark):
+    rows = [(1, "the same words in both", s, n) for n, s in enumerate(["a", "a", "b", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mark long")
+    want = Counter()
+    for r in mixed(docs, whole_documents=True).collect():
+        want[r.source] += len(r.positions)
+    got = Counter(r.source for r in mixed_documents(docs).collect())
+    assert got == +want and sum(got.values()) > 0
