@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm.cluster import ship_package
+from lumbung.llm.cluster import ship_package, unused_name
 from lumbung.llm.labelled import learning_fold
 from lumbung.llm.language import UNDETERMINED, fit_language_model, predict_language
 from lumbung.llm.mixing import WORD, mixed_documents
@@ -34,9 +34,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = fit_language_model(docs.where(learning_fold("doc_id", 4, 2)))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = docs.withColumn("__language", predict_language(spark, model))
-    kept = (F.col("__language.lang_pred") != UNDETERMINED) & (F.col("__language.score") >= LEAST_SHARE)
-    return found.where(kept).drop("__language")
+    name = unused_name(docs, "language_found")
+    found = docs.withColumn(name, predict_language(spark, model))
+    kept = (F.col(f"{name}.lang_pred") != UNDETERMINED) & (F.col(f"{name}.score") >= LEAST_SHARE)
+    return found.where(kept).drop(name)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
