@@ -29,9 +29,13 @@ from lumbung.sources.versions import VersionLog
 
 @dataclass(frozen=True)
 class Located:
-    """A table's rows: ``rest`` in buckets of ``keys``, ``hot`` beside them, and the keys of ``hot``."""
+    """A table's rows: ``rest`` in buckets of ``keys``, ``hot`` beside them, and the keys of ``hot``.
+
+    A ``unique`` table has one row for each key, all of them in its buckets.
+    """
 
     keys: Sequence[str]
+    unique: bool
     rest: DataFrame
     hot: DataFrame
     hot_keys: DataFrame
@@ -51,10 +55,11 @@ class BucketedTables:
     def _log(self, table: str) -> VersionLog:
         return VersionLog(self.spark, f"{self.root.rstrip('/')}/{table}")
 
-    def write(self, table: str, df: DataFrame, keys: Sequence[str]) -> Located:
+    def write(self, table: str, df: DataFrame, keys: Sequence[str], *, unique: bool = False) -> Located:
         """Replace the table; it stays readable while and after a write of it fails.
 
-        ``df`` is read twice, for the keys' counts and for the rows, so it should be a written table.
+        ``df`` is read several times, for the keys' counts and for the rows, so it should be a
+        written table.  With ``unique`` a key that has several rows is an error.
         """
         log = self._log(table)
         before = log.current()
@@ -63,14 +68,22 @@ class BucketedTables:
         keyed = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
         counts = df.where(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
         most = df.count() / self.buckets
-        counts.where((F.col("__n") > most) & (F.col("__n") > 1)).select(*keys).write.parquet(where["hot_keys"])
+        hot_counts = counts.where((F.col("__n") > most) & (F.col("__n") > 1))
+        if unique:
+            repeated = counts.where("__n > 1").first()
+            if repeated is not None:
+                raise ValueError(f"{table} has {repeated['__n']} rows of one key: {tuple(repeated)[:-1]}")
+            hot_counts = hot_counts.limit(0)
+        hot_counts.select(*keys).write.parquet(where["hot_keys"])
         hot_keys = bounded(self.spark.read.parquet(where["hot_keys"]))  # fewer than buckets
         rest = df.where(keyed).join(hot_keys, list(keys), "left_anti").select(*df.columns)
         hot = df.where(keyed).join(hot_keys, list(keys), "left_semi").select(*df.columns)
         hot.unionByName(df.where(~keyed)).write.parquet(where["hot"])
         # one file for each bucket: the shuffle hashes as the buckets do
-        self._register(where["rest"], rest.schema.simpleString(), keys, rest)
-        put_text(self.spark, f"{where['rest']}/_layout", json.dumps({"keys": list(keys), "buckets": self.buckets}))
+        writer = rest.repartition(self.buckets, *keys).write.format("parquet").option("path", where["rest"])
+        writer.bucketBy(self.buckets, *keys).saveAsTable(_catalog_name(where["rest"]))
+        layout = {"keys": list(keys), "buckets": self.buckets, "unique": unique}
+        put_text(self.spark, f"{where['rest']}/_layout", json.dumps(layout))
         log.commit(parts, before)
         return self.read(table)
 
@@ -85,11 +98,7 @@ class BucketedTables:
         if not self.spark.catalog.tableExists(name):
             self._declare(name, where["rest"], layout["keys"])
         hot, hot_keys = (self.spark.read.parquet(where[part]) for part in ("hot", "hot_keys"))
-        return Located(layout["keys"], self.spark.table(name), hot, hot_keys)
-
-    def _register(self, folder: str, _schema: str, keys: Sequence[str], rows: DataFrame) -> None:
-        writer = rows.repartition(self.buckets, *keys).write.format("parquet").option("path", folder)
-        writer.bucketBy(self.buckets, *keys).saveAsTable(_catalog_name(folder))
+        return Located(layout["keys"], layout["unique"], self.spark.table(name), hot, hot_keys)
 
     def _declare(self, name: str, folder: str, keys: Sequence[str]) -> None:
         columns = ", ".join(
@@ -114,10 +123,12 @@ def colocated_lookup(
 ) -> DataFrame:
     """The same as ``lookup`` by the two tables' keys, in their order; ``how`` is left or inner.
 
-    ``right`` has at most one row for each key, hence no hot ones.
+    ``right`` is unique on its key.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
+    if not right.unique:
+        raise ValueError("the table that is looked up has to be written as unique")
     on = dict(zip(left.keys, right.keys, strict=True))
     for a, b in on.items():
         if left.rest.schema[a].dataType != right.rest.schema[b].dataType:

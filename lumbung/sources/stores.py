@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lumbung.operators.checks import orphan_keys
 from lumbung.operators.dedup import dedup_by_key
 from lumbung.operators.key_index import (
     BATCH,
@@ -346,6 +347,20 @@ class ParquetStore:
             .where("n_rows > 1")
         )
 
+    def orphan_keys(
+        self, table: str, key: str, batch_id: str, schema: str, parent: str, parent_key: str, parent_schema: str
+    ) -> DataFrame:
+        """Q17 for one batch of an appended table: its foreign keys without a parent row, with their number.
+
+        Batches of the parent that hold none of the keys, by their summaries, are not read.
+        """
+        kind = StructType.fromDDL(parent_schema)[parent_key].dataType
+        rows = self.read_existing(table, schema).where(F.col(BATCH) == batch_id).select(F.col(key).cast(kind))
+        parents = self.read_existing(parent, parent_schema)
+        wanted = rows.select(F.col(key).alias(parent_key)).dropna().distinct()
+        chosen = self.key_summaries(parent).candidates(wanted, [parent_key], set(self.batch_ids(parent)))
+        return orphan_keys(rows, key, parents.where(F.col(BATCH).isin(*chosen)), parent_key)
+
     def batch_path(self, table: str, batch_id: str) -> str:
         return f"{self._folder(table)}/etl_batch_id={batch_id}"
 

@@ -47,6 +47,7 @@ from lumbung.operators import (
     within,
 )
 from lumbung.plans.fixed_values import MONTH_NAMES
+from lumbung.sources.bucketed import BucketedTables, Located, colocated_lookup
 from lumbung.sources.stores import ParquetStore, shared_folder
 from workload.registry import query, table
 from workload.star_oracles import crc32
@@ -547,6 +548,26 @@ def enrich_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_global_id(salted_lookup(rows, _bridge(spark, sf_dir), on, ["global_id"]))
 
 
+def _located(spark: SparkSession, sf_dir: str, supplier: str) -> tuple[Located, Located]:
+    tables = BucketedTables(spark, shared_folder(spark, "located"), buckets=8)
+    keys = ["platform", "platform_id"]
+    store = ParquetStore(spark, shared_folder(spark, "lines"))
+    lines = store.write("lines", _lines_of_suppliers(spark, sf_dir, supplier))
+    return tables.write("lines", lines, keys), tables.write("bridge", _bridge(spark, sf_dir), keys, unique=True)
+
+
+@query("bridge_enrich_located", _ENRICHED.format(id="gid", who=MISSING, how=""))
+def enrich_located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 without a shuffle: both sides lie in buckets of the key."""
+    return _per_global_id(colocated_lookup(*_located(spark, sf_dir, MISSING), ["global_id"], "inner"))
+
+
+@query("bridge_enrich_located_hot", _ENRICHED.format(id="gid", who=HOT, how="LEFT"))
+def enrich_located_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows has one key and a third has none: they lie beside the buckets."""
+    return _per_global_id(colocated_lookup(*_located(spark, sf_dir, HOT), ["global_id"]))
+
+
 # ---- A1-A4: deduplication
 
 _LEAST = (
@@ -851,6 +872,28 @@ def repeated_keys_of_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.repeated_keys("orders", ["o_custkey"], "B2", ORDER_SCHEMA)
 
 
+@query(
+    "orphans_of_batches",
+    "SELECT l_returnflag AS batch, l_partkey, count(*) AS n_rows FROM lineitem"
+    " WHERE l_partkey NOT IN (SELECT c_custkey FROM customer) GROUP BY ALL",
+)
+def orphans_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q17 batch by batch: each one's keys against the parent batches that may hold them."""
+    store = ParquetStore(spark, shared_folder(spark, "orphans"))
+    customers, lines = table(spark, sf_dir, "customer"), table(spark, sf_dir, "lineitem")
+    parent, child = "c_custkey bigint, c_name string", "l_partkey bigint, l_orderkey bigint, l_linenumber bigint"
+    for k in range(3):
+        some = customers.where(F.floor(F.col("c_custkey") / 100) % 3 == k)
+        store.append_new("customer", some, ["c_custkey"], f"C{k}", parent, key_index=k != 1)
+    found = []
+    for flag in ("A", "N", "R"):
+        own = lines.where(F.col("l_returnflag") == flag)
+        store.append_new("lines", own, ["l_orderkey", "l_linenumber"], flag, child, count_input=False)
+        orphans = store.orphan_keys("lines", "l_partkey", flag, child, "customer", "c_custkey", parent)
+        found.append(orphans.withColumn("batch", F.lit(flag)))
+    return union_all(found)
+
+
 @query("snapshot_after_failure", "SELECT c_custkey, c_name FROM customer WHERE c_nationkey < 5")
 def snapshot_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load that fails after some of its files are written leaves the table as it was."""
