@@ -874,23 +874,23 @@ def repeated_keys_of_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "orphans_of_batches",
-    "SELECT l_returnflag AS batch, l_partkey, count(*) AS n_rows FROM lineitem"
-    " WHERE l_partkey NOT IN (SELECT c_custkey FROM customer) GROUP BY ALL",
+    "SELECT o_orderstatus AS batch, o_custkey, count(*) AS n_rows FROM orders"
+    " WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY ALL",
 )
 def orphans_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q17 batch by batch: each one's keys against the parent batches that may hold them."""
     store = ParquetStore(spark, shared_folder(spark, "orphans"))
-    customers, lines = table(spark, sf_dir, "customer"), table(spark, sf_dir, "lineitem")
-    parent, child = "c_custkey bigint, c_name string", "l_partkey bigint, l_orderkey bigint, l_linenumber bigint"
+    suppliers, orders = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "orders")
+    parent = "s_suppkey bigint, s_name string"
     for k in range(3):
-        some = customers.where(F.floor(F.col("c_custkey") / 100) % 3 == k)
-        store.append_new("customer", some, ["c_custkey"], f"C{k}", parent, key_index=k != 1)
+        some = suppliers.where(F.floor(F.col("s_suppkey") / 20) % 3 == k)
+        store.append_new("supplier", some, ["s_suppkey"], f"S{k}", parent, key_index=k != 1)
     found = []
-    for flag in ("A", "N", "R"):
-        own = lines.where(F.col("l_returnflag") == flag)
-        store.append_new("lines", own, ["l_orderkey", "l_linenumber"], flag, child, count_input=False)
-        orphans = store.orphan_keys("lines", "l_partkey", flag, child, "customer", "c_custkey", parent)
-        found.append(orphans.withColumn("batch", F.lit(flag)))
+    for status in ("F", "O", "P"):
+        own = orders.where(F.col("o_orderstatus") == status)
+        store.append_new("orders", own, ["o_orderkey"], status, ORDER_SCHEMA, count_input=False)
+        orphans = store.orphan_keys("orders", "o_custkey", status, ORDER_SCHEMA, "supplier", "s_suppkey", parent)
+        found.append(orphans.withColumn("batch", F.lit(status)))
     return union_all(found)
 
 
