@@ -15,6 +15,7 @@ position, by ranges.
 
 A running sum per source would put a hot source in one task, so it is made in two
 steps: over hash ranges, as many as the square root of the row count, and within one.
+Sources are ranked, and their limits summed up, in two such steps as well.
 
 Defined cases: NULL text has size 0; a document of size 0 takes nothing and has no
 position; rows that repeat take the words of each row; an empty table gives an
@@ -23,6 +24,7 @@ empty result.  Only ``doc_id``, ``text`` and ``source`` are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -104,28 +106,50 @@ def range_digits(n: int) -> int:
     return digits
 
 
+def running(rows: DataFrame, order: Sequence[str], sums: dict[str, str], n: int) -> DataFrame:
+    """``rows`` with the sum of each column of ``sums`` (new name: column) over all rows before.
+
+    The ``n`` rows, no two of which have an equal ``order``, are written in about as many
+    ranges as a range has rows; ranges are summed up first, then the rows in each.
+    """
+    parts = max(1, math.isqrt(n))
+    placed = cut(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
+    totals = placed.groupBy("part").agg(*(F.sum(column).alias(name) for name, column in sums.items()))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    begins = totals.select(
+        "part", *(F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_begin") for name in sums)
+    )
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        placed.join(F.broadcast(begins), "part")
+        .withColumns(
+            {name: F.col(f"{name}_begin") + F.coalesce(F.sum(column).over(inside), F.lit(0)) for name, column in sums.items()}
+        )
+        .drop("part", *(f"{name}_begin" for name in sums))
+    )
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """(source, place, source_size, target) from (source, source_size); one row for each source."""
-    ordered = Window.orderBy("source")
-    every = Window.partitionBy()
-    by_limit = Window.orderBy("ratio", "place").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut(sizes)
+    n = sizes.count()
     ranked = (
-        sizes.withColumn("place", F.row_number().over(ordered))
-        .withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), F.pmod(F.col("place") - 1, F.lit(len(WEIGHTS))) + 1))
+        running(sizes.withColumn("one", F.lit(1)), ["source"], {"place": "one"}, n)
+        .withColumn("place", F.col("place") + 1)
+        .withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), F.pmod(F.col("place") - 1, F.lit(len(WEIGHTS))).cast("int") + 1))
         .withColumn("most", F.col("source_size") * MOST_REPEATS)
         .withColumn("ratio", F.col("most") / F.col("weight"))
     )
-    levels = ranked.withColumn(
-        "level",
-        (F.sum("source_size").over(every) - F.coalesce(F.sum("most").over(by_limit), F.lit(0)))
-        / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(by_limit), F.lit(0))),
-    )
-    first = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "place", "level"))).over(every)
+    limits = cut(running(ranked, ["ratio", "place"], {"most_before": "most", "weight_before": "weight"}, n))
+    total = limits.agg(F.sum("source_size")).scalar()
+    weight = limits.agg(F.sum("weight")).scalar()
+    levels = limits.withColumn("level", (total - F.col("most_before")) / (weight - F.col("weight_before")))
+    first = levels.where("level <= ratio").agg(F.min(F.struct("ratio", "place", "level"))["level"]).scalar()
     return levels.select(
         "source",
-        "place",
+        F.col("place").cast("int").alias("place"),
         "source_size",
-        F.least(F.col("most").cast("double"), F.col("weight") * first["level"]).alias("target"),
+        F.least(F.col("most").cast("double"), F.col("weight") * first).alias("target"),
     )
 
 
@@ -188,7 +212,10 @@ def in_training_order(mix: DataFrame, position: str = "position") -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, curriculum: Sequence[Schedule] = CURRICULUM) -> DataFrame:
-    """The rows of ``docs``, all columns, once for each whole copy that the mix takes."""
+    """The rows of ``docs``, all columns, once for each whole copy that the mix takes.
+
+    They are sorted by the copies' training positions, by ranges, so part files are read in that order.
+    """
     mix = mixed(docs, curriculum, whole_documents=True)
 
     def marked(column: Column) -> Column:  # NULL is a source of its own
@@ -206,11 +233,12 @@ def mixed_documents(docs: DataFrame, curriculum: Sequence[Schedule] = CURRICULUM
     ).withColumn("n", F.row_number().over(same))
     counts = (
         mix.where("taken > 0")
-        .select("at", id_.alias("id"), marked(F.col("source")).alias("of"), F.size("positions").alias("copies"))
+        .select("at", id_.alias("id"), marked(F.col("source")).alias("of"), "positions")
         .withColumn("n", F.row_number().over(same))
     )
     return (
         keyed.join(counts, [*keys, "n"])
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select("row", "at", F.explode("positions").alias("position"))
+        .orderBy("position", "at")
         .select("row.*")
     )

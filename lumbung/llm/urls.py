@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm.cluster import cut
+from lumbung.llm.cluster import cut, unused_name
 
 MOST_BROADCAST = 200_000
 ALLOW, BLOCK = "allow", "block"
@@ -44,6 +44,7 @@ class _Node:
     below: dict[str, _Node] = field(default_factory=dict)
     paths: _Node | None = None  # at a host: the trie of path segments
     ends: dict[str, Entry] = field(default_factory=dict)  # at a path: entries by the start of the next segment
+    lengths: list[int] = field(default_factory=list)  # of these starts, each once, descending
 
     def child(self, name: str) -> _Node:
         return self.below.setdefault(name, _Node())
@@ -65,6 +66,8 @@ class Trie:
                 node = node.child(segment)
             if node.ends.get(start, entry).verdict != ALLOW or entry.verdict == ALLOW:
                 node.ends[start] = entry
+                if len(start) not in node.lengths:
+                    node.lengths = sorted([*node.lengths, len(start)], reverse=True)
 
     def find(self, host: str, path: str) -> Entry | None:
         hosts, node = [], self.root
@@ -85,9 +88,12 @@ class Trie:
         for segment in path.split("/"):
             if node is None:
                 return
-            for start, entry in node.ends.items():
-                if segment.startswith(start):
+            # one lookup for each length that starts have, however many starts there are
+            for length in node.lengths:
+                entry = node.ends.get(segment[:length]) if length <= len(segment) else None
+                if entry:
                     yield entry
+                    break
             node = node.below.get(segment)
 
 
@@ -163,19 +169,23 @@ def judge_by_join(parts: DataFrame, entries: DataFrame, default: str = ALLOW) ->
 def filter_urls(
     spark: SparkSession, pages: DataFrame, entries: list[Entry] | DataFrame, url: str = "url", default: str = ALLOW
 ) -> DataFrame:
-    """``pages`` with a column ``judged``: struct<host, path, rule, verdict>."""
+    """``pages`` with one more column: struct<host, path, rule, verdict>.
+
+    It is called ``judged``, with a ``_`` more as long as ``pages`` has a column of that name.
+    """
+    name = unused_name(pages, "judged")
+    host, path = url_host(F.col(url)), url_path(F.col(url))
     if isinstance(entries, DataFrame):
         rows = entries.select("verdict", "host", "path").limit(MOST_BROADCAST + 1).collect()
         if len(rows) > MOST_BROADCAST:
-            parts = pages.select(url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
-            verdicts = judge_by_join(parts, entries, default).select(F.struct("host", "path", "rule", "verdict").alias("judged"))
-            return pages.join(
-                verdicts,
-                (url_host(F.col(url)) == F.col("judged.host")) & (url_path(F.col(url)) == F.col("judged.path")),
-            )
+            parts = pages.select(host.alias("host"), path.alias("path")).where("host <> ''")
+            verdicts = judge_by_join(parts, entries, default).select(F.struct("host", "path", "rule", "verdict").alias(name))
+            same = (host == F.col(f"{name}.host")) & (path == F.col(f"{name}.path"))
+            # no entry fits an empty host, which may be that of many pages: they are not joined
+            none = F.struct(host.alias("host"), path.alias("path"), F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+            return pages.where(host != "").join(verdicts, same).unionByName(pages.where(host == "").withColumn(name, none))
         entries = [Entry(*row) for row in rows]
-    host, path = url_host(F.col(url)), url_path(F.col(url))
     found = judged(spark, entries, host, path, default)
-    return pages.withColumn("judged", F.struct(host.alias("host"), path.alias("path"), found.alias("found"))).withColumn(
-        "judged", F.struct("judged.host", "judged.path", "judged.found.rule", "judged.found.verdict")
+    return pages.withColumn(name, F.struct(host.alias("host"), path.alias("path"), found.alias("found"))).withColumn(
+        name, F.struct(f"{name}.host", f"{name}.path", f"{name}.found.rule", f"{name}.found.verdict")
     )

@@ -96,3 +96,24 @@ def test_nothing_to_mix(no_documents):
 def test_the_main_path_has_no_python(documents):
     plan = mixed(documents)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_many_sources_are_ranked_in_ranges(spark):
+    sizes = {f"s{n:04d}": (n * 7919) % 997 for n in range(900)} | {None: 12}
+    rows = [("-" if s is None else f"+{s}", size) for s, size in sizes.items()]
+    found = mixing.source_targets(spark.createDataFrame(rows, "source string, source_size long")).collect()
+    want = level_by_hand(sizes)
+    assert len(found) == len(rows)
+    for place, row in enumerate(sorted(found, key=lambda row: (row.source == "-", row.source)), 1):
+        assert row.place == place
+        assert row.target == pytest.approx(want[None if row.source == "-" else row.source[1:]], abs=1e-6)
+    part = spark.range(1000).selectExpr("id % 211 * 10000 + id AS k", "id AS v")
+    sums = mixing.running(part, ["k"], {"before": "v"}, 1000).orderBy("k").collect()
+    assert [row.before for row in sums] == [sum(r.v for r in sums[:n]) for n in range(len(sums))]
+
+
+def test_copies_follow_their_training_positions(spark):
+    docs = spark.createDataFrame([(n, " ".join(["w"] * 10), f"s{n % 3}") for n in range(300)], "doc_id long, text string, source string")
+    order = in_training_order(mixed(docs, whole_documents=True)).collect()
+    wanted = [row.doc_id for row in sorted(order, key=lambda row: (row.position, row["at"]))]
+    assert [row.doc_id for row in mixed_documents(docs).collect()] == wanted

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +72,25 @@ def test_a_long_list_is_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(urls, "MOST_BROADCAST", 3)
     with pytest.raises(ValueError):
         judged(spark, ENTRIES, F.lit("a"), F.lit("b"))
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_columns_of_the_caller_stay(spark, monkeypatch, most):
+    monkeypatch.setattr(urls, "MOST_BROADCAST", most)
+    pages = spark.createDataFrame([("http://net/", 7, 8), (None, 9, 10)], "url string, Judged int, `a.b` int")
+    entries = spark.createDataFrame([(e.verdict, e.host, e.path) for e in ENTRIES], "verdict string, host string, path string")
+    found = filter_urls(spark, pages, entries)
+    assert found.columns == ["url", "Judged", "a.b", "judged_"]
+    rows = sorted(found.collect(), key=lambda row: row.Judged)
+    assert [(r.Judged, r["a.b"], r.judged_.verdict) for r in rows] == [(7, 8, BLOCK), (9, 10, ALLOW)]
+
+
+def test_many_paths_of_one_host():
+    trie = Trie([Entry(BLOCK, "h.com", f"/{n:06d}") for n in range(100_000)] + [Entry(ALLOW, "h.com", "/0999")])
+    start = time.perf_counter()
+    for n in range(1000):
+        found = trie.find("www.h.com", f"/{n + 99_500:06d}x")
+        assert found.verdict == BLOCK if n < 500 else found is None
+    assert time.perf_counter() - start < 0.5
+    assert trie.find("h.com", "/0999").verdict == ALLOW and trie.find("h.com", "/099999").verdict == BLOCK
+    assert trie.find("h.com", "/09") is None
