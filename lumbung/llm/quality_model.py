@@ -9,8 +9,10 @@ model is fitted by dual coordinate descent, with each class's cost inverse to
 its share.  A logistic curve fitted on sampled rows that the machine did not see
 turns margins into scores.
 
-The fit reads at most ``FitBounds.per_class`` documents of each class; scoring
-covers every whole text.  Defined cases: NULL and empty texts have one feature of
+The fit reads at most ``FitBounds.per_class`` documents of each class.  Of a text with
+more than ``FitBounds.columns`` distinct columns, the driver gets that many for the descent,
+the least by a hash; executors count all of its columns for the ratios, so the ratios
+are those of whole texts.  Scoring covers every whole text.  Defined cases: NULL and empty texts have one feature of
 their own and a score; without two classes among the labels every score is the
 share of class 1 (0.5 without any label).  ``quality_score`` returns a column, so
 no input column can clash.
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.llm.cluster import cut
 from lumbung.llm.labelled import sampled_texts
 from lumbung.llm.spans import Run, column_bytes, mix, slices, span_hashes
 
@@ -55,6 +58,7 @@ class FitBounds:
     """What the fit reads, whatever the size of the corpus."""
 
     per_class: int = 1500
+    columns: int = 1 << 14  # of one text on the driver: 64 KB, so 200 MB for all texts at most
     smoothing: float = 1.0
     cost: float = 1.0
     rounds: int = 12
@@ -140,18 +144,16 @@ def indicators(texts: pa.Array):
 def fit_quality_model(docs: DataFrame, labels: DataFrame, bounds: FitBounds = FitBounds()) -> QualityModel:
     """Learn from ``labels`` (doc_id, quality); the caller leaves out the rows that may not be learned."""
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("array<int>")
     def columns(texts: pa.Array) -> pa.Array:
-        return pa.array([x.tobytes() for x in indicators(texts)], pa.binary())
-
-    rows = (
-        sampled_texts(docs, labels, "quality", bounds.per_class)
-        .select("doc_id", "label", columns("text").alias("columns"))
-        .collect()
-    )
-    rows = sorted(rows, key=lambda row: (row["doc_id"], row["columns"]))
-    texts = [np.frombuffer(row["columns"], np.int32) for row in rows]
-    truth = np.array([row["label"] for row in rows], int)
+        found = list(indicators(texts))
+        stops = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        return pa.ListArray.from_arrays(stops, np.concatenate([np.zeros(0, np.int32), *found]))
+
+    sample = cut(sampled_texts(docs, labels, "quality", bounds.per_class).select("doc_id", "label", columns("text").alias("columns")))
+    rows = _collected(sample, bounds.columns)
+    texts = [row[1] for row in rows]
+    truth = np.array([row[2] for row in rows], int)
     if len(set(truth.tolist())) < 2:
         share = float(truth.mean()) if len(truth) else 0.5
         odds = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
@@ -163,19 +165,58 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, bounds: FitBounds = Fi
         mine = np.flatnonzero(truth == value)
         seen[mine[0]] = True
         seen[mine[-1]] = len(mine) == 1
-    ratios = _log_count_ratios(texts, truth, seen, bounds.smoothing)
-    weights, bias = _dual_descent(texts, truth, seen, ratios, bounds, random)
+    short = np.array([row[3] for row in rows])
+    counts = _class_counts(texts, truth, seen & short)
+    counts += _counted_on_executors(sample, [row[4] for row, use in zip(rows, seen & ~short) if use])
+    ratios = _log_count_ratios(counts, bounds.smoothing)
+    weights, bias, _ = _dual_descent(texts, truth, seen, ratios, bounds, random)
     margins = np.array([_margin(columns, ratios, weights, bias) for columns in texts])
     unseen = ~seen if len(set(truth[~seen].tolist())) == 2 else seen
     slope, offset = _logistic(margins[unseen], truth[unseen], truth.mean())
     return QualityModel(ratios.astype(np.float32), weights.astype(np.float32), bias, slope, offset)
 
 
-def _log_count_ratios(texts, truth, seen, smoothing) -> np.ndarray:
-    counts = np.full((2, FEATURES), smoothing)
-    for columns, label, use in zip(texts, truth, seen):
-        if use:
-            counts[label][columns] += 1
+def _collected(sample: DataFrame, most: int) -> list[tuple]:
+    """(doc_id, at most ``most`` columns, label, whether these are all, hash of all) in a fixed order."""
+    by_hash = F.array_sort(F.transform("columns", lambda c: F.struct(F.xxhash64(c).alias("h"), c.alias("c"))))
+    all_ = F.size("columns") <= most
+    table = sample.select(
+        "doc_id",
+        F.when(all_, F.col("columns")).otherwise(F.transform(F.slice(by_hash, 1, most), lambda pair: pair["c"])).alias("columns"),
+        "label",
+        all_.alias("all"),
+        F.xxhash64("doc_id", "columns").alias("key"),
+    ).toArrow()
+    lists = [x for chunk in table["columns"].chunks for x in _split(chunk)]
+    rest = (table[name].to_pylist() for name in ("label", "all", "key"))
+    rows = zip(table["doc_id"].to_pylist(), lists, *rest)
+    return sorted(rows, key=lambda row: (row[0], row[1].tobytes()))
+
+
+def _split(lists: pa.ListArray) -> list[np.ndarray]:
+    stops = lists.offsets.to_numpy()
+    return np.split(lists.values.to_numpy()[: stops[-1]], stops[:-1])[1:] if len(lists) else []
+
+
+def _counted_on_executors(sample: DataFrame, keys: list[int]) -> np.ndarray:
+    """How many of the texts with these keys have each column, by class; FEATURES numbers a class."""
+    counts = np.zeros((2, FEATURES))
+    if keys:
+        own = sample.where(F.xxhash64("doc_id", "columns").isin(*keys))
+        found = own.select("label", F.explode("columns").alias("c")).groupBy("label", "c").agg(F.count("*").alias("n")).toArrow()
+        counts[found["label"].to_numpy(), found["c"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def _class_counts(texts, truth, use) -> np.ndarray:
+    counts = np.zeros((2, FEATURES))
+    for k in np.flatnonzero(use):
+        counts[truth[k]][texts[k]] += 1
+    return counts
+
+
+def _log_count_ratios(counts: np.ndarray, smoothing: float) -> np.ndarray:
+    counts = counts + smoothing
     share = counts / counts.sum(axis=1, keepdims=True)
     return np.log(share[1] / share[0])
 
@@ -207,7 +248,7 @@ def _dual_descent(texts, truth, seen, ratios, bounds, random):
                 weights[columns] += step * scaled
                 bias += step
                 dual[k] = new
-    return weights, float(bias)
+    return weights, float(bias), dual
 
 
 def _logistic(margins, truth, share, rounds: int = 60) -> tuple[float, float]:

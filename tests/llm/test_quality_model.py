@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lumbung.llm import labelled
+from lumbung.llm import labelled, quality_model
 from lumbung.llm.labelled import held_out_fold, learning_fold, sampled_labels, sampled_texts
 from lumbung.llm.quality_model import EMPTY, FEATURES, FitBounds, fit_quality_model, indicators, quality_score
 from lumbung.llm.rules import ListBounds, labelled_statistics
@@ -69,3 +69,60 @@ def test_no_class_and_no_id_crowds_out_others(spark, monkeypatch):
     assert Counter(zip(least["g"].to_pylist(), least["h"].to_pylist())) == Counter(
         (g, h) for g in range(3) for h in sorted({k // 2 for k in range(60) if k % 3 == g})[:4]
     )
+
+
+def test_ratios_are_those_of_whole_texts_and_the_driver_gets_few_columns(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 3 = 0) AS quality")
+    sizes, used = [], []
+    collected, descent = quality_model._collected, quality_model._dual_descent
+
+    def watched(sample, most):
+        rows = collected(sample, most)
+        sizes.append(max(len(row[1]) for row in rows))
+        return rows
+
+    def seen(texts, truth, seen, ratios, bounds, random):
+        used.append((truth, seen))
+        return descent(texts, truth, seen, ratios, bounds, random)
+
+    monkeypatch.setattr(quality_model, "_collected", watched)
+    monkeypatch.setattr(quality_model, "_dual_descent", seen)
+    whole, few = (fit_quality_model(docs, labels, FitBounds(columns=n, rounds=2)) for n in (1 << 14, 40))
+    assert sizes[0] > 40 == sizes[1]
+    # by hand: documents with each column in the seen part, smoothed, as shares of their class
+    rows = sorted((r.doc_id, r.text, r.quality) for r in docs.join(labels, "doc_id").collect())
+    for model, (truth, use) in zip((whole, few), used):
+        assert truth.tolist() == [quality for _, _, quality in rows]
+        tally = {0: Counter(), 1: Counter()}
+        for (_, text, quality), of_part in zip(rows, use):
+            if of_part:
+                tally[quality].update(next(iter(indicators(pa.array([text])))).tolist())
+        total = {k: sum(c.values()) + FEATURES for k, c in tally.items()}
+        for column in [*tally[0]][:300] + [*tally[1]][:300] + [EMPTY]:
+            want = np.log((tally[1][column] + 1) / total[1] / ((tally[0][column] + 1) / total[0]))
+            assert abs(model.ratios[column] - want) < 1e-5
+
+
+def test_the_descent_ends_at_the_optimum():
+    random = np.random.default_rng(3)
+    texts = [random.choice(60, random.integers(3, 20), replace=False).astype(np.int32) for _ in range(80)]
+    truth = np.array([int(len(set(t.tolist()) & set(range(12))) > 2) for t in texts])
+    truth[:6] = 1 - truth[:6]  # not separable
+    use, ratios = np.ones(80, bool), random.normal(size=FEATURES)
+    use[70:] = False
+    bounds = FitBounds(rounds=1500)
+    weights, bias, dual = quality_model._dual_descent(texts, truth, use, ratios, bounds, np.random.default_rng(1))
+    assert not dual[70:].any()
+    sign, loss = np.where(truth == 1, 1, -1), 0.0
+    w, b = np.zeros(FEATURES), 0.0
+    for k in range(70):
+        x = np.zeros(FEATURES)
+        x[texts[k]] = ratios[texts[k]] / np.linalg.norm(ratios[texts[k]])
+        cost = 70 / (2 * (truth[:70] == truth[k]).sum())
+        assert -1e-12 <= dual[k] <= cost + 1e-12
+        loss += cost * max(0.0, 1 - sign[k] * (weights @ x + bias))
+        w, b = w + dual[k] * sign[k] * x, b + dual[k] * sign[k]
+    assert np.allclose(w, weights) and np.isclose(b, bias)  # the weights are those of the dual variables
+    half = (weights @ weights + bias * bias) / 2
+    assert 0 <= (half + loss) - (dual.sum() - half) < 1e-3 * (half + loss)  # no gap: nothing is better
