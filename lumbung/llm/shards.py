@@ -7,8 +7,9 @@
 2. Counts by part give every sequence an index from 0 to n - 1.
 3. A keyed Feistel network permutes the index; where the result is not below n it
    is permuted again (cycle-walking), which makes it a permutation of exactly n slots.
-4. The slot's shard is its range partition: one task writes one shard, in slot order,
-   by Spark's own writer and committer.
+4. Slots are range-partitioned: one task writes a run of consecutive shards, each in
+   slot order, by Spark's own writer and committer.  The number of tasks follows from
+   the bytes to write, not from the number of shards.
 
 A record is ``length`` little-endian 16-bit tokens and one line feed, so its place
 is ``slot % per_shard * stride`` in shard ``slot // per_shard``: a reader can start,
@@ -48,6 +49,7 @@ class Layout:
     length: int = 2048  # tokens of a sequence
     per_shard: int = 4096  # sequences of a shard
     end_token: int = END_TOKEN
+    task_bytes: int = 512 << 20  # of records that one task writes, at least one shard
 
     @property
     def stride(self) -> int:
@@ -272,6 +274,17 @@ def slot_of(index: str, n: int, key: int) -> Column:
     return slots(F.col(index))
 
 
+def writing_tasks(shards: int, layout: Layout, least: int) -> int:
+    """How many tasks share the shards: as the bytes need, at least ``least``, a whole shard each."""
+    whole = max(1, layout.task_bytes // (layout.per_shard * layout.stride))
+    return max(1, min(shards, max(least, -(-shards // whole))))
+
+
+def run_of_shards(shards: int, tasks: int) -> Column:
+    """The task of a shard: consecutive shards stay together and runs differ by one shard at most."""
+    return F.floor(F.col("shard").cast("long") * tasks / F.lit(shards)).cast("int")
+
+
 def materialise(
     docs: DataFrame, folder: str, key: int, layout: Layout = Layout(), vocabulary: str = VOCABULARY
 ) -> DataFrame:
@@ -302,7 +315,8 @@ def materialise(
     shards = -(-total // layout.per_shard)
     if shards:
         records = placed(sequences_of(docs, layout, ranks)).select("shard", "slot", "payload")
-        records = records.repartitionById(shards, "shard").sortWithinPartitions("shard", "slot")
+        tasks = writing_tasks(shards, layout, spark.sparkContext.defaultParallelism)
+        records = records.repartitionById(tasks, run_of_shards(shards, tasks)).sortWithinPartitions("shard", "slot")
         records.select(_record("payload"), "shard").write.partitionBy("shard").text(f"{folder}/shards")
         _check_sizes(spark, folder, total, layout)
     return placed(index).select(

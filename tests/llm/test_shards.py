@@ -1,6 +1,10 @@
+import glob
+import os
+
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lumbung.llm.shards import (
     END_TOKEN,
@@ -12,6 +16,8 @@ from lumbung.llm.shards import (
     materialise,
     permuted,
     read_from,
+    run_of_shards,
+    writing_tasks,
 )
 
 LAYOUT = Layout(length=16, per_shard=10)
@@ -105,3 +111,33 @@ def test_ids_of_a_sequence_are_its_documents(spark, folder):
 def test_no_documents(spark, no_documents, folder):
     no_documents.write.parquet(f"{folder}/docs")
     assert materialise(spark.read.parquet(f"{folder}/docs"), f"{folder}/out", key=1, layout=LAYOUT).collect() == []
+
+
+def test_tasks_follow_the_bytes_and_not_the_shards(spark):
+    layout = Layout()
+    assert writing_tasks(3_000_000, layout, 8) == -(-3_000_000 // (layout.task_bytes // (4096 * layout.stride)))
+    small = Layout(length=16, per_shard=10)  # as many shards of 330 bytes are 1 GB
+    assert writing_tasks(3_000_000, small, 1) == 2 and writing_tasks(3_000_000, small, 8) == 8
+    assert [writing_tasks(n, layout, 8) for n in (1, 5, 8, 100)] == [1, 5, 8, 8]
+    assert writing_tasks(7, Layout(task_bytes=1), 2) == 7  # a shard is never cut
+    for shards, tasks in ((1, 1), (7, 3), (100, 8), (64, 64), (3_000_001, 97)):
+        rows = spark.range(shards).select(F.col("id").alias("shard")).select("shard", run_of_shards(shards, tasks).alias("t"))
+        runs = rows.groupBy("t").agg(F.min("shard").alias("a"), F.max("shard").alias("b"), F.count("*").alias("n"))
+        runs = sorted(map(tuple, runs.collect()))
+        assert [t for t, *_ in runs] == list(range(tasks))
+        assert all(b - a + 1 == n for _, a, b, n in runs) and runs[0][1] == 0
+        assert max(n for *_, n in runs) - min(n for *_, n in runs) <= 1
+
+
+def test_shards_of_a_run_are_whole_files(spark, hard_documents, folder):
+    hard_documents.write.parquet(f"{folder}/docs")
+    layout = Layout(length=16, per_shard=3, task_bytes=1 << 20)
+    index = materialise(spark.read.parquet(f"{folder}/docs"), f"{folder}/out", key=3, layout=layout)
+    shards = index.agg(F.max("shard")).first()[0] + 1
+    assert shards > 8 * spark.sparkContext.defaultParallelism
+    files = glob.glob(f"{folder}/out/shards/shard=*/part-*")
+    sizes = {int(f.split("shard=")[1].split("/")[0]): os.path.getsize(f) for f in files}
+    assert len(files) == len(sizes) == shards
+    assert all(size == 3 * layout.stride for shard, size in sizes.items() if shard < shards - 1)
+    stored = read_from(spark, f"{folder}/out", 0, layout).collect()
+    assert [r.slot for r in stored] == list(range(index.count()))
