@@ -2,10 +2,11 @@ import random
 import re
 
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lumbung.llm.licences import PHRASES, TEMPLATES, Scanner, SuffixAutomaton, rows_of, scanned
+from lumbung.llm.licences import NOTICES, PHRASES, TEMPLATES, Scanner, SuffixAutomaton, rows_of, scanned, templates_of
 
 
 def words_by_hand(text):
@@ -86,3 +87,70 @@ def test_columns_and_defined_cases(spark, hard_documents, no_documents):
     empty = next(r.found for r in rows if r.text is None)
     assert (empty.n_words, empty.score, empty.labels, empty.spans) == (0, 0.0, "", [])
     assert no_documents.select(scanned(spark)).collect() == []
+
+
+def labels_of(*texts, scanner=None):
+    return [row["labels"] for row in rows_of(scanner or Scanner(), pa.array(texts)).to_pylist()]
+
+
+def test_whole_notices_are_one_span():
+    scanner = Scanner()
+    for label, notice in NOTICES:
+        words = notice.split()
+        middle = len(words) // 2
+        changed = [*words[:middle], *"some inserted words".split(), *words[middle + 2 :]]
+        text = " ".join(["x"] * 5 + changed + ["y"] * 5)
+        row = rows_of(scanner, pa.array([text])).to_pylist()[0]
+        span = max((s for s in row["spans"] if s["label"] == label), key=lambda s: s["last_word"] - s["first_word"])
+        assert (span["first_word"], span["last_word"]) == (5, 5 + len(changed) - 1)
+        assert len(words) - 6 <= span["cover"] * len(words) <= len(words) - 2
+
+
+def test_licences_that_share_their_words_are_told_apart():
+    whole = {label: text for label, text in NOTICES}
+    for label in ("gpl", "lgpl", "agpl"):
+        found = set(labels_of(whole[label])[0].split(","))
+        assert found & {"gpl", "lgpl", "agpl"} == {label} | ({"gpl"} if "general public license" in whole[label] else set())
+    row = rows_of(Scanner(), pa.array([whole["agpl"]])).to_pylist()[0]
+    assert {s["label"] for s in row["spans"]} == {"agpl"}  # gpl is its base label only
+    by = "this work is licensed under a creative commons {} 4 0 international license"
+    assert labels_of(*(by.format(w) for w in ("attribution", "attribution sharealike", "attribution noncommercial"))) == [
+        "cc-by", "cc-by-sa", "cc-by-nc"
+    ]
+
+
+def test_the_rest_of_a_chain_is_a_span_of_its_own():
+    words = [f"w{k}" for k in range(40)]
+    scanner = Scanner(templates=(("l", " ".join(words)),))
+    # the second copy's tail chains best with the first copy, whose words are taken by then
+    first, second = words[:30], [*words[:26], "zz", *words[27:]]
+    text = [*first, "qq", *second]
+    spans = rows_of(Scanner(templates=(("l", " ".join(words)),)), pa.array([" ".join(text)])).to_pylist()[0]["spans"]
+    assert spans and spans[0]["label"] == "l"
+    parts = [[0, 30, 0, 30], [31, 57, 0, 26], [58, 71, 27, 40]]
+    chains = scanner._chains(scanner.sizes.index(40), parts)
+    covered = sorted((first, last) for _, first, last, _, _ in chains)
+    inside = [any(first <= p[0] and p[1] - 1 <= last for first, last in covered) for p in parts]
+    assert all(inside) and sum(share for *_, share, _ in chains) > 1
+
+
+def test_the_head_of_a_rest_is_cut_at_the_span_before_it():
+    scanner = Scanner(templates=(("l", " ".join(f"w{k}" for k in range(50))),))
+    template = scanner.sizes.index(50)
+    # parts 1 and 2 both chain best with part 0; part 2 gets it, part 1 overlaps its words by 4
+    parts = [[0, 20, 0, 20], [16, 30, 18, 32], [32, 60, 20, 48]]
+    chains = scanner._chains(template, parts)
+    assert chains[0][:4] == (template, 0, 59, (20 + 28) / 50)
+    assert chains[1][:4] == (template, 20, 29, 10 / 50)
+
+
+def test_templates_of_a_table(spark):
+    rows = [("own", "Own  Licence, Version 7!"), ("own", "own licence version 7"), ("other", "Ünder é licence"), (None, "no label"),
+            ("none", "..."), ("null", None)]
+    table = spark.createDataFrame(rows, "label string, text string")
+    templates = templates_of(table)
+    assert templates == (("other", "Ünder é licence"), ("own", "own licence version 7"))
+    assert labels_of("OWN LICENCE version 7", scanner=Scanner(templates=templates)) == ["own"]
+    assert templates_of(table.where("false")) == ()
+    with pytest.raises(ValueError, match="7 words"):
+        templates_of(table, most_words=6)
