@@ -15,6 +15,12 @@ error, since the model holds ``TABLE`` rows for each of them.  The
 training sequences join segments of different languages, from which the
 transitions are learned.
 
+Whether a text is in any learned language is another question, since some language
+always fits best: ``Evidence`` compares a byte trigram model of all training words
+with the frequencies of their bytes alone.  A text's evidence is the mean of its
+words', so a text that switches languages has as much as others; its level is
+learned on training documents that the compared model has not seen.
+
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0; with
 no labelled row every text is ``und``; ties go to the smaller label; labels are
 only read by ``fit_language_model``.  Columns of the input keep their values, and
@@ -23,7 +29,7 @@ only read by ``fit_language_model``.  Columns of the input keep their values, an
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +63,25 @@ class TrainingBounds:
     seed: int = 11
 
 
+@dataclass(frozen=True)
+class Evidence:
+    """Log-likelihood ratio of a word's bytes, given the two before each, to their frequencies.
+
+    The ratio of a byte is a term of its context and, if training has the trigram, one of
+    that: bytes in unknown contexts tell nothing, unknown bytes in known contexts speak against.
+    """
+
+    context: np.ndarray  # term of each pair of bytes
+    trigrams: np.ndarray  # sorted
+    gains: np.ndarray  # their terms
+    low: float = -np.inf  # halfway between words of mixed up letters and words of the hardest language
+    spread: float = 0.0  # standard deviation of the words' evidence
+
+    def known(self, mean: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """False where the mean of so many words is below the level by more than chance."""
+        return mean + 3 * self.spread / np.sqrt(np.maximum(words, 1)) >= self.low
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     labels: list[str]
@@ -64,6 +89,7 @@ class LanguageModel:
     lexicon: np.ndarray  # sorted word hashes
     lexicon_weights: np.ndarray
     transitions: np.ndarray
+    evidence: Evidence
 
 
 def labelled_sample(docs: DataFrame, bounds: TrainingBounds) -> list[tuple[str, list[str]]]:
@@ -127,13 +153,19 @@ def word_features(run: Run, first: np.ndarray, last: np.ndarray) -> tuple[np.nda
     return bigram, trigram, affixes, span_hashes(prefix, first, last)
 
 
-def word_scores(model: LanguageModel, run: Run, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Score of each word for each language; a word that comes again is scored once."""
+def _distinct_words(run: Run, first: np.ndarray, last: np.ndarray) -> tuple[Run, np.ndarray, np.ndarray, np.ndarray]:
+    """(run, begins, ends) of the distinct words, and the number of each word's."""
     _, at, again = np.unique(span_hashes(run.prefix(), first, last), return_index=True, return_inverse=True)
     size = last[at] - first[at]
     ends = np.cumsum(size)
     begins = ends - size
     words = Run(run.text[np.repeat(first[at] - begins, size) + np.arange(ends[-1])], begins, ends)
+    return words, begins, ends, again
+
+
+def word_scores(model: LanguageModel, run: Run, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Score of each word for each language; a word that comes again is scored once."""
+    words, begins, ends, again = _distinct_words(run, first, last)
     bigram, trigram, affixes, hashes = word_features(words, begins, ends)
     by_byte = model.weights[bigram]
     by_byte += model.weights[trigram]
@@ -213,6 +245,78 @@ def expected_words(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarr
     return out
 
 
+def _trigrams(run: Run, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams that end at each byte of the words and at the blank after, and each word's first one."""
+    size = last - first + 1
+    begins = np.cumsum(size) - size
+    at = np.arange(int(size.sum())) + np.repeat(first - begins, size)
+    low, high = np.repeat(first, size), np.repeat(last, size)
+    text = np.append(run.text, 0x20).astype(np.int64)
+
+    def byte(k: int) -> np.ndarray:
+        place = at - k
+        return np.where((place >= low) & (place < high), text[np.maximum(place, 0)], 0x20)
+
+    return byte(2) << 16 | byte(1) << 8 | byte(0), begins
+
+
+def word_evidence(evidence: Evidence, run: Run, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Mean over the bytes of each word; a word that comes again is compared once."""
+    if not len(first):
+        return np.zeros(0)
+    words, begins, ends, again = _distinct_words(run, first, last)
+    trigrams, heads = _trigrams(words, begins, ends)
+    terms = evidence.context[trigrams >> 8]
+    if len(evidence.trigrams):
+        at = np.minimum(np.searchsorted(evidence.trigrams, trigrams), len(evidence.trigrams) - 1)
+        terms = terms + np.where(evidence.trigrams[at] == trigrams, evidence.gains[at], 0.0)
+    return (np.add.reduceat(terms, heads) / (ends - begins + 1))[again]
+
+
+def _words_run(parts: list[str]) -> tuple[Run, np.ndarray, np.ndarray]:
+    run = Run(*column_bytes(pa.array(parts, pa.string())))
+    first, last, _ = run.words(APART)
+    return run, first, last
+
+
+def _ratios(parts: list[str], prior: float = 2.0) -> Evidence:
+    """Terms from counts; a context's counts are joined by ``prior`` bytes as frequent as in all words."""
+    trigrams, _ = _trigrams(*_words_run(parts))
+    codes, counts = np.unique(trigrams, return_counts=True)
+    contexts = np.bincount(codes >> 8, counts, 1 << 16)
+    shares = np.bincount(codes & 0xFF, counts, 256) / max(1, counts.sum())
+    gains = np.log1p(counts / (prior * shares[codes & 0xFF]))
+    return Evidence(np.log(prior / (prior + contexts)), codes, gains)
+
+
+def fit_evidence(sample: list[tuple[str, list[str]]], seed: int) -> Evidence:
+    """The ratios of all segments; the level is that of every other document by those between them.
+
+    Without two documents of a language, or where mixing up the letters makes no
+    difference, there is no level and every text is known.
+    """
+    random = np.random.default_rng(seed)
+    by_label: dict[str, list[list[str]]] = {}
+    for label, parts in sample:
+        by_label.setdefault(label, []).append(parts)
+    learned = [part for texts in by_label.values() for parts in texts[::2] for part in parts]
+    half, whole = _ratios(learned), _ratios([part for _, parts in sample for part in parts])
+    found = [
+        word_evidence(half, *_words_run([part for parts in texts[1::2] for part in parts]))
+        for texts in by_label.values()
+        if len(texts) > 1
+    ]
+    if not found:
+        return whole
+    letters = ["".join(random.permutation(list(word))) for part in learned for word in part.split(" ")]
+    mixed_up = word_evidence(half, *_words_run([" ".join(letters)])).mean()
+    hardest = min(values.mean() for values in found)
+    if hardest <= mixed_up:
+        return whole
+    spread = max(float(values.std()) for values in found)
+    return replace(whole, low=float(mixed_up + hardest) / 2, spread=spread)
+
+
 def fit_language_model(docs: DataFrame, bounds: TrainingBounds = TrainingBounds()) -> LanguageModel | None:
     """Learn from the non-NULL ``lang`` of ``docs`` (doc_id, text, lang); None without any."""
     sample = labelled_sample(docs, bounds)
@@ -247,6 +351,7 @@ def fit_language_model(docs: DataFrame, bounds: TrainingBounds = TrainingBounds(
         lexicon,
         weights[nothing + 1 :].astype(np.float32),
         transitions,
+        fit_evidence(sample, bounds.seed),
     )
 
 
@@ -330,25 +435,31 @@ def _train(rows, words, counts, truth, languages, size, bounds):
     return weights, transitions
 
 
-def predict_language(spark: SparkSession, model: LanguageModel | None, text: str = "text") -> Column:
-    """A column struct<lang_pred, score> of the whole text."""
-    none = F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+def predict_language(
+    spark: SparkSession, model: LanguageModel | None, text: str = "text", known: bool = False
+) -> Column:
+    """A column struct<lang_pred, score> of the whole text.
+
+    With ``known`` a third field says whether its words look like those of the learned languages.
+    """
+    none = [F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")]
+    none = F.struct(*none, *[F.lit(False).alias("known")] * known)
     if model is None:
         return none
     shared = spark.sparkContext.broadcast(model)  # bounded by TrainingBounds, some MB
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @F.arrow_udf(f"struct<lang_pred: string, score: double{', known: boolean' * known}>")
     def predicted(texts: pa.Array) -> pa.Array:
-        return _predict(shared.value, texts)
+        return _predict(shared.value, texts, known)
 
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     found = predicted.asNondeterministic()(F.when(letter, F.lower(text)))  # else planned once for each use
     return F.when(letter, found).otherwise(none)
 
 
-def _predict(model: LanguageModel, texts: pa.Array) -> pa.Array:
+def _predict(model: LanguageModel, texts: pa.Array, with_known: bool) -> pa.Array:
     data, starts, ends = column_bytes(texts)
-    best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    best, score, known = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts), bool)
     for i, j in slices(starts, ends, (4 << 20) * 4 // max(4, len(model.labels))):
         run = Run(data, starts[i:j], ends[i:j])
         first, last, counts = run.words(APART)
@@ -357,5 +468,21 @@ def _predict(model: LanguageModel, texts: pa.Array) -> pa.Array:
         share = expected_words(word_scores(model, run, first, last), counts, model.transitions)
         best[i:j] = share.argmax(axis=1)
         score[i:j] = np.clip(share.max(axis=1) / np.maximum(counts, 1), 0.0, 1.0)
-    labels = pa.array(model.labels, pa.string()).take(pa.array(best))
-    return pa.StructArray.from_arrays([labels, pa.array(score)], ["lang_pred", "score"])
+        if with_known:
+            known[i:j] = _known(model.evidence, run, first, last, counts)
+    fields = {"lang_pred": pa.array(model.labels, pa.string()).take(pa.array(best)), "score": pa.array(score)}
+    if with_known:
+        fields["known"] = pa.array(known)
+    return pa.StructArray.from_arrays(list(fields.values()), list(fields))
+
+
+def _known(evidence: Evidence, run: Run, first: np.ndarray, last: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Of each text; letters beside a digit are of a code or number, which belongs to no language."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    digit = (run.text >= 0x30) & (run.text <= 0x39)
+    before = (first > run.starts[owner]) & digit[np.maximum(first - 1, 0)]
+    after = (last < run.ends[owner]) & digit[np.minimum(last, len(digit) - 1)]
+    plain = ~(before | after)
+    total = np.bincount(owner[plain], word_evidence(evidence, run, first[plain], last[plain]), len(counts))
+    words = np.bincount(owner[plain], minlength=len(counts))
+    return evidence.known(total / np.maximum(words, 1), words)

@@ -119,3 +119,73 @@ def test_no_label_and_no_repeated_row_crowds_out_others(spark):
     many = spark.createDataFrame([(n, f"text {n}", f"l{n % 70}") for n in range(210)], docs.schema)
     few = labelled_sample(many, TrainingBounds(languages=2, documents=3))
     assert len({label for label, _ in few}) == len(few) == 70
+
+
+FOREIGN = (
+    "setiap orang berhak atas semua hak dan kebebasan yang tercantum di dalam pernyataan ini tanpa pengecualian apapun",
+    "jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin ja vapauksiin ilman minkäänlaista",
+    "każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej deklaracji bez względu na różnice rasy",
+    "каждый человек должен обладать всеми правами и всеми свободами провозглашенными настоящей декларацией",
+)
+
+
+def junk(seed, words=40):
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(words))
+
+
+def test_foreign_and_junk_texts_are_unknown_and_switching_ones_known(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = fit_language_model(given.where(learning_fold("doc_id", 4, 2)))
+    assert np.isfinite(model.evidence.low)
+    found = given.select("text", predict_language(spark, model, known=True).alias("p")).where("p.lang_pred != 'und'")
+    assert found.where("not p.known").count() == 0  # learned and held-out documents alike
+    texts = {r.lang: r.text for r in given.where("length(text) between 400 and 3000").collect()}
+    clean = [f"{texts[a][:200]} {texts[b][:200]} {texts[c][:200]}" for a, b, c in itertools.permutations(texts, 3)]
+    clean += [" ".join(w for pair in zip(texts["en"].split(), texts["fr"].split()) for w in pair)]
+    clean += [texts["de"][:60], texts["es"][:25]]  # short ones
+    clean += [f"{texts['en'][:60]} d79b4bd5ac35c6fd4765f3c195ae8bf92c95a355 06cf6f1ed6e2f11436ae2d0e28ac632b3cf81707"]
+    strange = [*FOREIGN, *map(junk, range(4)), FOREIGN[0].upper(), " ".join([FOREIGN[1]] * 300)]
+    rows = [(n, text, n < len(clean)) for n, text in enumerate(clean + strange)]
+    docs = spark.createDataFrame(rows, "n int, text string, clean boolean")
+    wrong = docs.select("n", "text", "clean", predict_language(spark, model, known=True).alias("p")).where("p.known != clean")
+    assert wrong.collect() == []
+
+
+def test_evidence_equals_ratios_by_hand():
+    parts = ["abc ab", "ba abc", "é"]
+    evidence = language._ratios(parts)
+    seen = Counter(b"  " + w.encode() + b" " for p in parts for w in p.split(" "))
+    trigrams, contexts, letters = Counter(), Counter(), Counter()
+    for word, n in seen.items():
+        for k in range(2, len(word)):
+            trigrams[word[k - 2 : k + 1]] += n
+            contexts[word[k - 2 : k]] += n
+            letters[word[k]] += n
+    total = sum(letters.values())
+
+    def by_hand(word):
+        raw, terms = b"  " + word.encode() + b" ", []
+        for k in range(2, len(raw)):
+            share = letters[raw[k]] / total
+            if trigrams[raw[k - 2 : k + 1]]:
+                chance = (trigrams[raw[k - 2 : k + 1]] + 2 * share) / (contexts[raw[k - 2 : k]] + 2)
+                terms.append(np.log(chance / share))
+            else:
+                terms.append(np.log(2 / (2 + contexts[raw[k - 2 : k]])))
+        return np.mean(terms)
+
+    words = ["abc", "ab", "zz", "ac", "é", "abc", "xyzabc"]
+    found = language.word_evidence(evidence, *language._words_run([" ".join(words)]))
+    assert np.allclose(found, [by_hand(w) for w in words])
+    assert len(language.word_evidence(evidence, *language._words_run(["12 !"]))) == 0
+
+
+def test_without_a_level_every_lettered_text_is_known(spark, hard_documents):
+    model = fit_language_model(hard_documents.where("doc_id = 9"), TrainingBounds(rounds=2))
+    assert model is None or model.evidence.low == -np.inf
+    only = spark.createDataFrame([(1, "one lone text", "en")], "doc_id long, text string, lang string")
+    model = fit_language_model(only, TrainingBounds(rounds=2))
+    assert model.evidence.low == -np.inf
+    rows = spark.createDataFrame([("zzqx",), ("12",), (None,), ("",)], "text string")
+    assert [r.p.known for r in rows.select(predict_language(spark, model, known=True).alias("p")).collect()] == [True, False, False, False]
