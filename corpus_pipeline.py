@@ -21,12 +21,9 @@ from lumbung.llm.rules import learn_rules, passing
 from lumbung.llm.simhash import one_of_each
 from lumbung.sources.stores import shared_folder
 
-#: a text in which no language reaches this share of the words is no text of any learned language
-LEAST_SHARE = 0.3
-
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or without a prevailing language, go.
+    """Documents without a letter, or whose words look like those of no learned language, go.
 
     Without any labelled row there is no model, and documents with a letter stay.
     """
@@ -35,8 +32,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     name = unused_name(docs, "language_found")
-    found = docs.withColumn(name, predict_language(spark, model))
-    kept = (F.col(f"{name}.lang_pred") != UNDETERMINED) & (F.col(f"{name}.score") >= LEAST_SHARE)
+    found = docs.withColumn(name, predict_language(spark, model, known=True))
+    kept = (F.col(f"{name}.lang_pred") != UNDETERMINED) & F.col(f"{name}.known")
     return found.where(kept).drop(name)
 
 
