@@ -3,6 +3,7 @@
 from collections import Counter
 
 from llm.conftest import SF, words_of
+from llm.test_language import FOREIGN, junk
 from llm.test_packing import cheapest
 from llm.test_rules import by_hand as statistics_by_hand
 from llm.test_simhash import fingerprint_by_hand, groups_by_hand
@@ -95,3 +96,17 @@ def test_equal_texts_of_two_sources_keep_their_own_copies(spark):
         want[r.source] += len(r.positions)
     got = Counter(r.source for r in mixed_documents(docs).collect())
     assert got == +want and sum(got.values()) > 0
+
+
+def test_foreign_and_junk_documents_go_and_clean_switches_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.lang: r.text for r in docs.where("length(text) between 400 and 3000").collect()}
+    switch = f"{texts['en'][:300]} {texts['de'][:300]} {texts['fr'][:300]}"
+    planted = [*FOREIGN, junk(1), junk(2), switch, f"{texts['es'][:100]} {texts['en'][:100]}"]
+    rows = [(-1 - n, "src0", None, len(text), text) for n, text in enumerate(planted)]
+    more = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    given = docs.unionByName(more.select(docs.columns))
+    kept = Counter(r.doc_id for r in p.known_language(spark, given, SF).collect())
+    assert {n for n in range(len(planted)) if kept[-1 - n]} == {6, 7}
+    lettered = Counter(r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or ""))
+    assert all(kept[i] == n for i, n in lettered.items())
