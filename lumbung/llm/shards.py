@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,6 +51,7 @@ class Layout:
     per_shard: int = 4096  # sequences of a shard
     end_token: int = END_TOKEN
     task_bytes: int = 512 << 20  # of records that one task writes, at least one shard
+    batch_bytes: int = 4 << 20  # of records that a task unpacks at once
 
     @property
     def stride(self) -> int:
@@ -317,7 +319,8 @@ def materialise(
         records = placed(sequences_of(docs, layout, ranks)).select("shard", "slot", "payload")
         tasks = writing_tasks(shards, layout, spark.sparkContext.defaultParallelism)
         records = records.repartitionById(tasks, run_of_shards(shards, tasks)).sortWithinPartitions("shard", "slot")
-        records.select(_record("payload"), "shard").write.partitionBy("shard").text(f"{folder}/shards")
+        with _small_batches(spark, layout):
+            records.select(_record("payload"), "shard").write.partitionBy("shard").text(f"{folder}/shards")
         _check_sizes(spark, folder, total, layout)
     return placed(index).select(
         "slot",
@@ -328,6 +331,19 @@ def materialise(
     )
 
 
+@contextmanager
+def _small_batches(spark: SparkSession, layout: Layout) -> Iterator[None]:
+    """Rows of an Arrow batch for this write: at most ``batch_bytes`` of records, however many a task has."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    rows = max(1, layout.batch_bytes // layout.stride)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _shard_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/shards")
 

@@ -141,3 +141,15 @@ def test_shards_of_a_run_are_whole_files(spark, hard_documents, folder):
     assert all(size == 3 * layout.stride for shard, size in sizes.items() if shard < shards - 1)
     stored = read_from(spark, f"{folder}/out", 0, layout).collect()
     assert [r.slot for r in stored] == list(range(index.count()))
+
+
+def test_a_write_leaves_the_session_as_it_was(spark, hard_documents, folder):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    hard_documents.write.parquet(f"{folder}/docs")
+    docs, before = spark.read.parquet(f"{folder}/docs"), spark.conf.get(name)
+    rows = [
+        [tuple(r) for r in read_from(spark, f"{folder}/{size}", 0, layout).collect()]
+        for size in (1, 1 << 20)
+        if materialise(docs, f"{folder}/{size}", key=3, layout=(layout := Layout(16, 10, batch_bytes=size))).count()
+    ]
+    assert rows[0] == rows[1] and rows[0] and spark.conf.get(name) == before
