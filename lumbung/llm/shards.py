@@ -167,7 +167,7 @@ def _streams(batches: Iterator[pa.RecordBatch], tokenizer: Tokenizer):
     """(doc_ids, run of parts) of every slice of the texts: ids, begins, sizes, parts of each text."""
     for batch in batches:
         data, starts, ends = column_bytes(batch.column(1))
-        for i, j in slices(starts, ends, 4 << 20):
+        for i, j in slices(starts, ends, 1 << 20):
             yield batch.column(0).slice(i, j - i), *tokenizer.encode(Run(data, starts[i:j], ends[i:j]))
 
 
