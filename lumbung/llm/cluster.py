@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -19,7 +20,7 @@ _shipped: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Give the package to the executors, as ``--py-files`` would, where their path lacks it.
 
-    The archive is made on the driver and sent by Spark itself.
+    The archive is made on the driver, sent by Spark itself and removed when the driver ends.
     """
     application = spark.sparkContext.applicationId
     paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
@@ -27,6 +28,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     _shipped.add(application)
     folder = tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors may fetch the archive until the end
     for module in (ROOT / "lumbung").rglob("*.py"):
         target = Path(folder, "package", module.relative_to(ROOT))
         target.parent.mkdir(parents=True, exist_ok=True)
