@@ -75,25 +75,28 @@ def score_stats(df: DataFrame, column: str, by: Sequence[str], unit: Column | No
     ``unit`` is what one point of the result is in the column's scale, the same for all
     rows of a group; the exact sum and the median are divided by it, once.
 
-    The rows are counted per value first.  A decimal of six digits at most bounds
-    the number of values by its type (a decimal(5,2) between 0 and 100 has
-    10,001), so there the median buffer of a group is small.  Any other type goes
-    through ``exact_median``, which never holds all values of a group.
+    A decimal of six digits at most bounds the number of values by its type (a
+    decimal(5,2) between 0 and 100 has 10,001), so there the rows are counted per value
+    first and the median buffer of a group is small.  Any other type goes through
+    ``exact_median``, which never holds all values of a group, and sums the rows as they are.
     """
     kind = df.schema[column].dataType
     rows = df.where(F.col(column).isNotNull()).withColumn("__unit", F.lit(1) if unit is None else unit)
     rows = rows.withColumn("__unit", F.col("__unit").cast("decimal(20,4)"))
-    counts = rows.groupBy(*by, column).agg(
-        F.count(F.lit(1)).alias("__n"),
-        exact_sum(F.col(column), kind).alias("__sum"),
-        F.max("__unit").alias("__unit"),
-    )
-    n, per = F.sum("__n"), F.max("__unit")
-    mean = rounded_quotient(F.sum("__sum"), n * per).alias("mean")
+    per = F.max("__unit")
     if isinstance(kind, DecimalType) and kind.precision <= 6:
+        counts = rows.groupBy(*by, column).agg(
+            F.count(F.lit(1)).alias("__n"),
+            exact_sum(F.col(column), kind).alias("__sum"),
+            per.alias("__unit"),
+        )
+        n = F.sum("__n")
+        mean = rounded_quotient(F.sum("__sum"), n * per).alias("mean")
         median = F.percentile(F.col(column).cast("double"), F.lit(0.5), F.col("__n")) / per.cast("double")
         return counts.groupBy(*by).agg(n.alias("n_rows"), mean, F.round(median, 4).alias("median"))
-    stats = counts.groupBy(*by).agg(n.alias("n_rows"), mean, per.alias("__unit"))
+    n = F.count(F.lit(1))
+    mean = rounded_quotient(exact_sum(F.col(column), kind), n * per).alias("mean")
+    stats = rows.groupBy(*by).agg(n.alias("n_rows"), mean, per.alias("__unit"))
     medians = exact_median(rows, column, by).withColumnRenamed("median", "__median")
     median = F.round(F.col("__median") / F.col("__unit").cast("double"), 4).alias("median")
     return _join_groups(stats, medians, by).select(*by, "n_rows", "mean", median)
@@ -151,11 +154,15 @@ def exact_median(df: DataFrame, column: str, by: Sequence[str], accuracy: int =
 
 
 def _join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join per-group values by group; a NULL group is a group."""
+    """Join per-group values by group; a NULL group is a group.
+
+    ``right`` has one row per group and groups are source tags, so it is broadcast: a
+    shuffle by so few keys would bring all rows of a group into one task.
+    """
     names = {name: f"__by{i}" for i, name in enumerate(by)}
     renamed = right.withColumnsRenamed(names)
     same = reduce(lambda a, b: a & b, (F.col(a).eqNullSafe(F.col(b)) for a, b in names.items()), F.lit(True))
-    return left.join(renamed, same).drop(*names.values())
+    return left.join(F.broadcast(renamed), same).drop(*names.values())
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str]) -> DataFrame:
