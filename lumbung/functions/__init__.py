@@ -18,8 +18,10 @@ from lumbung.functions.identity import (
     collision_report,
     global_id,
     key_collisions,
+    packed_id,
     pii_hash,
     surrogate_key,
+    unpacked_id,
 )
 from lumbung.functions.standardize import Mapping, standardize, standardize_with_table
 
@@ -34,6 +36,7 @@ __all__ = [
     "key_collisions",
     "literal_tags",
     "ordinal_rank",
+    "packed_id",
     "pii_hash",
     "prefixed_id",
     "presence_flag",
@@ -45,5 +48,6 @@ __all__ = [
     "surrogate_key",
     "text_key",
     "threshold_label",
+    "unpacked_id",
     "whole_number",
 ]
